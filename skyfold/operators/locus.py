@@ -90,7 +90,15 @@ def color_locus(df: DataFrame, keys: Sequence[str] = ("pix",)) -> DataFrame:
 
 
 def locus_map(df: DataFrame, nside: int, **options) -> DataFrame:
-    return color_locus(with_pixel(filter_stars(df, **options), nside), ["pix"])
+    """Locus of every pixel that holds any object; pixels without point sources report n = 0."""
+    pixels = with_pixel(df, nside)
+    stars = filter_stars(pixels, **options)
+    return _all_pixels(pixels, color_locus(stars, ["pix"]))
+
+
+def _all_pixels(pixels: DataFrame, locus: DataFrame) -> DataFrame:
+    joined = pixels.select("pix").distinct().join(locus.withColumn("_has", F.lit(True)), "pix", "left")
+    return joined.withColumn("n", F.when(F.col("_has").isNull(), F.lit(0)).otherwise(F.col("n"))).drop("_has")
 
 
 def locus_width(df: DataFrame, keys: Sequence[str] = ("pix",)) -> DataFrame:
