@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from skyfold.plans import column_queries
+from skyfold.plans import calibration_queries, coadd_queries, column_queries
 from skyfold.plans.views import Query
 
 REGISTERED: dict[str, Query] = {}
-for _module in (column_queries,):
+for _module in (coadd_queries, calibration_queries, column_queries):
     for _name, _query in _module.QUERIES.items():
         if _name in REGISTERED:
             raise ValueError(f"query registered twice: {_name}")

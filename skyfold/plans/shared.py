@@ -9,6 +9,7 @@ from skyfold.operators.coadd import coadd_objects
 from skyfold.operators.zeropoints import apply_zeropoints, load_zeropoints
 from skyfold.plans import views
 from skyfold.schema import OBJECT_ID, catalog_schema
+from skyfold.session import materialize
 
 
 def rounded(df: DataFrame, names: list[str] | None = None, digits: int = 6) -> DataFrame:
@@ -33,7 +34,7 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object catalog in the output schema, but in double precision, with TRUE_ID."""
-    catalog, _ = coadd_objects(good(spark, sf_dir), "det_id")
+    catalog, _ = coadd_objects(materialize(good(spark, sf_dir), "good"), "det_id")
     return _defaults(catalog).withColumn("TRUE_ID", F.col(OBJECT_ID))
 
 
