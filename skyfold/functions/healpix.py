@@ -1,7 +1,8 @@
 """HEALPix indexing (Gorski et al. 2005) as staged integer columns.
 
-Every function takes a DataFrame and adds columns. Steps are separate projections over named
-columns, so each value is computed once per row and stays inside whole-stage codegen.
+Every function takes a DataFrame and adds columns. Values used several times are computed once by ``_fixed``:
+the optimizer merges plain projections and would copy a deep expression into each of its uses, while the
+output of a one-row ``inline`` is an attribute. Both stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -37,6 +38,11 @@ def _order(nside: int) -> int:
     return order
 
 
+def _fixed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that later expressions refer to by name, never by copy."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _long(column: Column) -> Column:
     return F.floor(column).cast("long")
 
@@ -72,11 +78,12 @@ def with_pixel(
     staged = staged.withColumns(
         {"_hbelt": belt, "_htp": tt - F.floor(tt), "_hcap": n * F.col("_hs") / F.sqrt((1.0 + za) / 3.0)}
     )
-    staged = staged.withColumns(
+    staged = _fixed(
+        staged,
         {
             "_hjp": F.when(F.col("_hbelt"), _long(n * (0.5 + tt) - n * z * 0.75)).otherwise(_long(F.col("_htp") * F.col("_hcap"))),
             "_hjm": F.when(F.col("_hbelt"), _long(n * (0.5 + tt) + n * z * 0.75)).otherwise(_long((1.0 - F.col("_htp")) * F.col("_hcap"))),
-        }
+        },
     )
     jp, jm = F.col("_hjp"), F.col("_hjm")
     temps = ["_hz", "_hs", "_htt", "_hza", "_hbelt", "_htp", "_hcap", "_hjp", "_hjm"]
@@ -99,12 +106,13 @@ def with_pixel(
     face_belt = F.when(fp == fm, fp.bitwiseOR(F.lit(4).cast("long"))).when(fp < fm, fp).otherwise(fm + 8)
     quarter = F.least(F.floor(tt).cast("long"), F.lit(3).cast("long"))
     cjp, cjm = F.least(jp, last), F.least(jm, last)
-    staged = staged.withColumns(
+    staged = _fixed(
+        staged,
         {
             "_hface": F.when(F.col("_hbelt"), face_belt).when(z >= 0, quarter).otherwise(quarter + 8),
             "_hix": F.when(F.col("_hbelt"), jm.bitwiseAND(last)).when(z >= 0, n - cjm - 1).otherwise(cjp),
             "_hiy": F.when(F.col("_hbelt"), n - jp.bitwiseAND(last) - 1).when(z >= 0, n - cjp - 1).otherwise(cjm),
-        }
+        },
     )
     pix = F.col("_hface") * (n * n) + _spread("_hix", order) + 2 * _spread("_hiy", order)
     return staged.withColumn(name, pix.cast("long")).drop(*temps, "_hface", "_hix", "_hiy")
@@ -126,7 +134,7 @@ def _with_ring(df: DataFrame, nside: int, pix: str) -> DataFrame:
         .when(south, F.shiftright(1 + _isqrt(2 * (total - p) - 1), 1))
         .otherwise(F.floor((p - ncap) / (4 * n)).cast("long") + n)
     )
-    staged = df.withColumn("_ring", ring)
+    staged = _fixed(df, {"_ring": ring})
     i = F.col("_ring")
     along = (
         F.when(north, p + 1 - 2 * i * (i - 1))
@@ -159,10 +167,8 @@ def with_pixel_center(
 
 def nest_to_ring(df: DataFrame, nside: int, pix: str = "pix", name: str = "ring") -> DataFrame:
     n, order = nside, _order(nside)
-    staged = df.withColumns(
-        {"_nf": F.floor(F.col(pix) / (n * n)).cast("long"), "_nl": F.pmod(F.col(pix), F.lit(n * n).cast("long"))}
-    )
-    staged = staged.withColumns({"_nx": _gather("_nl", order, 0), "_ny": _gather("_nl", order, 1)})
+    staged = _fixed(df, {"_nf": F.floor(F.col(pix) / (n * n)).cast("long"), "_nl": F.pmod(F.col(pix), F.lit(n * n).cast("long"))})
+    staged = _fixed(staged, {"_nx": _gather("_nl", order, 0), "_ny": _gather("_nl", order, 1)})
     face, ix, iy = F.col("_nf"), F.col("_nx"), F.col("_ny")
     row = F.floor(face / 4).cast("long")
     # Longitude (in eighths) of the face's southern corner: even faces of the belt start at zero.
@@ -214,7 +220,7 @@ def _ring_geometry(df: DataFrame, nside: int, ring: str, prefix: str) -> DataFra
     """First pixel, length, half-pixel shift and colatitude of a ring (1 .. 4*nside-1)."""
     n, total, ncap = nside, npix(nside), 2 * nside * (nside - 1)
     r = F.col(ring)
-    staged = df.withColumn(f"{prefix}nr", F.when(r > 2 * n, 4 * n - r).otherwise(r))
+    staged = _fixed(df, {f"{prefix}nr": F.when(r > 2 * n, 4 * n - r).otherwise(r)})
     nr = F.col(f"{prefix}nr")
     cap = (nr * nr).cast("double") * (4.0 / total)
     in_cap = nr < n
@@ -224,13 +230,17 @@ def _ring_geometry(df: DataFrame, nside: int, ring: str, prefix: str) -> DataFra
     theta = F.when(in_cap, F.atan2(F.sqrt(cap * (2.0 - cap)), 1.0 - cap)).otherwise(F.acos(belt_z))
     shifted = F.when(in_cap | (F.pmod(nr - n, F.lit(2)) == 0), 0.5).otherwise(0.0)
     south = nr != r
-    staged = staged.withColumns({f"{prefix}len": length, f"{prefix}shift": shifted})
-    return staged.withColumns(
-        {
-            f"{prefix}start": F.when(south, total - start - F.col(f"{prefix}len")).otherwise(start),
-            f"{prefix}theta": F.when(south, math.pi - theta).otherwise(theta),
-        }
-    ).drop(f"{prefix}nr")
+    columns = {
+        f"{prefix}len": length, f"{prefix}shift": shifted, f"{prefix}start": F.when(south, total - start - length).otherwise(start),
+        f"{prefix}theta": F.when(south, math.pi - theta).otherwise(theta),
+    }
+    return _fixed(staged, columns).drop(f"{prefix}nr")
+
+
+def _ring_above(n: int, z: Column) -> Column:
+    """Ring just north of a position, 0 above the first ring."""
+    cap = _long(n * F.sqrt(3.0 * (1.0 - F.abs(z))))
+    return F.when(F.abs(z) <= 2.0 / 3.0, _long(n * (2.0 - 1.5 * z))).when(z > 0, cap).otherwise(4 * n - cap - 1)
 
 
 def with_interpolation(df: DataFrame, nside: int, lon: str, lat: str, name: str = "taps") -> DataFrame:
@@ -239,39 +249,33 @@ def with_interpolation(df: DataFrame, nside: int, lon: str, lat: str, name: str
     Adds ``array<struct<pix: long, weight: double>>``.
     """
     n, total = nside, npix(nside)
-    staged = df.withColumns(
-        {"_iz": F.sin(F.radians(F.col(lat))), "_iph": F.radians(F.pmod(F.col(lon), F.lit(360.0))),
-         "_ith": F.radians(90.0 - F.col(lat))}
-    )
-    z = F.col("_iz")
-    cap_ring = _long(n * F.sqrt(3.0 * (1.0 - F.abs(z))))
-    above = F.when(F.abs(z) <= 2.0 / 3.0, _long(n * (2.0 - 1.5 * z))).when(z > 0, cap_ring).otherwise(4 * n - cap_ring - 1)
-    staged = staged.withColumn("_ia", above)
-    staged = staged.withColumns(
-        {"_ra": F.greatest(F.col("_ia"), F.lit(1).cast("long")),
-         "_rb": F.least(F.col("_ia") + 1, F.lit(4 * n - 1).cast("long"))}
+    staged = _fixed(
+        df,
+        {"_iz": F.sin(F.radians(F.col(lat))), "_iph": F.radians(F.pmod(F.col(lon), F.lit(360.0))), "_ith": F.radians(90.0 - F.col(lat))},
     )
+    staged = _fixed(staged, {"_ia": _ring_above(n, F.col("_iz"))})
+    first, last = F.lit(1).cast("long"), F.lit(4 * n - 1).cast("long")
+    staged = _fixed(staged, {"_ra": F.greatest(F.col("_ia"), first), "_rb": F.least(F.col("_ia") + 1, last)})
     drops = ["_iz", "_iph", "_ith", "_ia", "_ra", "_rb"]
     for ring, p in (("_ra", "_u"), ("_rb", "_l")):
         staged = _ring_geometry(staged, n, ring, p)
-        step = 2.0 * math.pi / F.col(f"{p}len")
-        staged = staged.withColumn(f"{p}t", F.col("_iph") / step - F.col(f"{p}shift"))
-        staged = staged.withColumn(f"{p}i", _long(F.col(f"{p}t")))
-        staged = staged.withColumns(
+        staged = _fixed(staged, {f"{p}t": F.col("_iph") / (2.0 * math.pi / F.col(f"{p}len")) - F.col(f"{p}shift")})
+        i = _long(F.col(f"{p}t"))
+        staged = _fixed(
+            staged,
             {
-                f"{p}w": F.col(f"{p}t") - F.col(f"{p}i"),
-                f"{p}p1": F.col(f"{p}start") + F.pmod(F.col(f"{p}i"), F.col(f"{p}len")),
-                f"{p}p2": F.col(f"{p}start") + F.pmod(F.col(f"{p}i") + 1, F.col(f"{p}len")),
-            }
+                f"{p}w": F.col(f"{p}t") - i, f"{p}p1": F.col(f"{p}start") + F.pmod(i, F.col(f"{p}len")),
+                f"{p}p2": F.col(f"{p}start") + F.pmod(i + 1, F.col(f"{p}len")),
+            },
         )
-        drops += [p + s for s in ("len", "shift", "start", "theta", "t", "i", "w", "p1", "p2")]
+        drops += [p + part for part in ("len", "shift", "start", "theta", "t", "w", "p1", "p2")]
     top, bottom = F.col("_ia") == 0, F.col("_ia") == 4 * n - 1
     share = (
         F.when(top, F.col("_ith") / F.col("_ltheta"))
         .when(bottom, (F.col("_ith") - F.col("_utheta")) / (math.pi - F.col("_utheta")))
         .otherwise((F.col("_ith") - F.col("_utheta")) / (F.col("_ltheta") - F.col("_utheta")))
     )
-    staged = staged.withColumn("_is", share)
+    staged = _fixed(staged, {"_is": share})
     s = F.col("_is")
     # At a pole the missing ring is the pole itself: its weight is spread over the four pixels around it.
     quarter = F.when(top, (1.0 - s) / 4.0).when(bottom, s / 4.0).otherwise(0.0)
@@ -293,28 +297,20 @@ def disc_pixels(
     radius, so no overlapping pixel is missed.
     """
     n = nside
-    radius = radius_deg + (max_pixel_radius_deg(n) if inclusive else 0.0)
+    radius = min(radius_deg + (max_pixel_radius_deg(n) if inclusive else 0.0), 180.0)
     top, low = F.radians(F.least(F.col(lat) + radius, F.lit(90.0))), F.radians(F.greatest(F.col(lat) - radius, F.lit(-90.0)))
 
-    def ring_above(z: Column) -> Column:
-        cap = _long(n * F.sqrt(3.0 * (1.0 - F.abs(z))))
-        return F.when(F.abs(z) <= 2.0 / 3.0, _long(n * (2.0 - 1.5 * z))).when(z > 0, cap).otherwise(4 * n - cap - 1)
-
     staged = df.withColumns(
         {
-            "_dr1": F.greatest(ring_above(F.sin(top)), F.lit(1).cast("long")),
-            "_dr2": F.least(ring_above(F.sin(low)) + 1, F.lit(4 * n - 1).cast("long")),
+            "_dr1": F.greatest(_ring_above(n, F.sin(top)), F.lit(1).cast("long")),
+            "_dr2": F.least(_ring_above(n, F.sin(low)) + 1, F.lit(4 * n - 1).cast("long")),
         }
     ).withColumn("_dr", F.explode(F.sequence("_dr1", "_dr2")))
     staged = _ring_geometry(staged, n, "_dr", "_d")
     lat0 = F.radians(F.col(lat))
     # cos(dphi) on the ring; out of [-1, 1] means none or all of the ring
-    staged = staged.withColumn(
-        "_dc",
-        F.try_divide(
-            F.lit(math.cos(math.radians(radius))) - F.cos("_dtheta") * F.sin(lat0), F.sin("_dtheta") * F.cos(lat0)
-        ),
-    )
+    reach = F.lit(math.cos(math.radians(radius))) - F.cos("_dtheta") * F.sin(lat0)
+    staged = _fixed(staged, {"_dc": F.try_divide(reach, F.sin("_dtheta") * F.cos(lat0))})
     c = F.col("_dc")
     pole = F.abs(F.col(lat)) >= 90.0 - 1e-12
     inside_pole = F.abs(F.degrees(F.col("_dtheta")) - (90.0 - F.col(lat))) <= radius

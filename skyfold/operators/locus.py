@@ -11,6 +11,7 @@ from skyfold.functions.guards import below, inside
 from skyfold.functions.healpix import with_pixel
 from skyfold.functions.photometry import extinction
 from skyfold.operators.quantiles import exact_median, exact_percentiles
+from skyfold.session import materialize
 
 # Fit window, axis origin, window along the locus, clip, magnitude windows, MAD scale.
 FIT_WINDOW = (0.3, 1.1)
@@ -63,19 +64,22 @@ def color_locus(df: DataFrame, keys: Sequence[str] = ("pix",)) -> DataFrame:
     deviation across. Each step is a grouped aggregation joined back to the stars.
     """
     keys = list(keys)
+    df = materialize(df.select(*keys, "g0", "r0", "i0", "gr", "ri"), "stars")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_all"))
     enough = counts.where(F.col("n_all") > MIN_STARS).select(*keys)
-    stars = df.select(*keys, "g0", "r0", "i0", "gr", "ri").join(enough, keys, "left_semi").withColumn("_ok", _ok_colors())
+    stars = df.join(enough, keys, "left_semi").withColumn("_ok", _ok_colors())
     first = _fit(stars.where("_ok"), keys).where(F.col("slope").isNotNull()).drop("n_fit")
     along, across = _axes(F.col("slope"), F.col("intercept"))
-    placed = stars.join(first, keys).withColumns({"_p1": along, "_p2": across})
+    placed = materialize(stars.join(first, keys).withColumns({"_p1": along, "_p2": across}), "placed")
     middle = placed.where(inside(F.col("_p1"), *ALONG))
     quart = exact_percentiles(middle, keys, {"_q1": ("_p2", 0.25), "_q3": ("_p2", 0.75)}, extra=[F.count(F.lit(1)).alias("_n")])
     clip = quart.where(F.col("_n") >= MIN_STARS).select(*keys, (F.lit(CLIP_SIGMAS * 0.74) * (F.col("_q3") - F.col("_q1"))).alias("_clip"))
     kept = placed.join(clip, keys).where(F.col("_ok") & (F.abs("_p2") < F.col("_clip"))).drop("slope", "intercept")
     second = _fit(kept, keys).where((F.col("n_fit") >= MIN_STARS) & F.col("slope").isNotNull()).drop("n_fit")
+    second = materialize(second, "fit")
     along, across = _axes(F.col("slope"), F.col("intercept"))
     final = stars.join(second, keys).withColumns({"_p1": along, "_p2": across}).where(inside(F.col("_p1"), *ALONG))
+    final = materialize(final.select(*keys, "_p2"), "across")
     centre = exact_median(final, keys, "_p2", "_centre", extra=[F.count(F.lit(1)).alias("_n")])
     deviation = final.join(centre, keys).withColumn("_dev", F.abs(F.col("_p2") - F.col("_centre")))
     mad = exact_median(deviation, keys, "_dev", "_mad", extra=[F.count(F.lit(1)).alias("_n")])

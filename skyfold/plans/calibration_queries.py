@@ -177,19 +177,19 @@ DERIVE_SQL = oracle(
 )
 
 
-def calibrate_exposures(spark, sf):
-    """Whole calibration: cones around exposures, nearest match inside each exposure, zeropoints.
+TILE = f"cast(floor(({views.BASE_RA.format(k='TRUE_ID')})/36)*3 + floor(({views.BASE_DEC.format(k='TRUE_ID')} + 60)/30) as bigint)"
+
 
-    The exposure centre is where its detections are not (they cover the sky), so the cone is wide open here.
-    """
-    det = views.detections(spark, sf).drop("TRUE_ID", "FILENAME", "T_EFF").withColumns({"EXPNUM": F.col("EXPNUM") % 5, "CCDNUM": F.col("CCDNUM") % 5})
-    exp = det.select("EXPNUM").distinct().select("EXPNUM", F.lit(180.0).alias("TELRA"), F.lit(0.0).alias("TELDEC"))
-    merged = calibration.merge_reference_by_exposure(det, views.reference(spark, sf), exp, "det_id", "OBJID", 1.0, cone_deg=180.0, nside=4)
+def calibrate_exposures(spark, sf):
+    """Matching of whole exposures at once: one exposure per sky tile, reference rows from the cone around its centre."""
+    det = views.detections(spark, sf).withColumns({"EXPNUM": F.expr(TILE)}).drop("TRUE_ID", "FILENAME")
+    exp = det.select("EXPNUM").distinct().selectExpr("EXPNUM", "floor(EXPNUM/3)*36 + 18e0 AS TELRA", "(EXPNUM % 3)*30 - 45e0 AS TELDEC")
+    merged = calibration.merge_reference_by_exposure(det, views.reference(spark, sf), exp, "det_id", "OBJID", 1.0, cone_deg=24.0, nside=8)
     return rounded(merged.groupBy("EXPNUM").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("sep") * 3600.0).alias("mean_sep"), F.max("G").alias("G")))
 
 
 CALIBRATE_SQL = oracle(
-    f"SELECT EXPNUM, count(*) AS n, round(avg(s*3600), 6) AS mean_sep, round(max(G), 6) AS G FROM (SELECT r.OBJID, d.EXPNUM % 5 AS EXPNUM, r.G, min({_sep_sql('r.RA', 'r.DEC', 'd.RA', 'd.DEC')}) AS s FROM reference_v r JOIN detections_v d "
+    f"SELECT EXPNUM, count(*) AS n, round(avg(s*3600), 6) AS mean_sep, round(max(G), 6) AS G FROM (SELECT r.OBJID, {TILE} AS EXPNUM, r.G, min({_sep_sql('r.RA', 'r.DEC', 'd.RA', 'd.DEC')}) AS s FROM reference_v r JOIN detections_v d "
     "ON d.TRUE_ID = r.OBJID GROUP BY 1, 2, 3) GROUP BY EXPNUM", "reference_v", "detections_v",
 )
 

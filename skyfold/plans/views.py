@@ -217,7 +217,7 @@ def oracle(body: str, *views: str) -> str:
     if not ordered:
         return body
     prelude = ", ".join(f"{v} AS ({SQL_VIEWS[v]})" for v in ordered)
-    return f"WITH {prelude} {body}"
+    return f"WITH {prelude}{body}" if body.startswith(",") else f"WITH {prelude} {body}"
 
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
