@@ -124,7 +124,7 @@ def coadd_bands(df: DataFrame, id_col: str, objid: str = OBJECT_ID) -> DataFrame
 
 
 def pivot_bands(per_band: DataFrame, fields: Sequence[str], bands: Sequence[str], objid: str = OBJECT_ID) -> DataFrame:
-    picks = [F.max(F.when(F.col("BAND") == b, F.col(f))).alias(band_column(f, b)) for f in fields for b in bands]
+    picks = [F.expr(f"max(CASE WHEN BAND = '{b}' THEN `{f}` END) AS `{band_column(f, b)}`") for f in fields for b in bands]
     return per_band.groupBy(objid).agg(*picks)
 
 

@@ -56,16 +56,18 @@ def histogram_mode(df: DataFrame, keys: Sequence[str], value: str, low: float, h
 def density_mode(df: DataFrame, keys: Sequence[str], value: str, grid: int = GRID, low: float = 0.0, high: float = 1.0) -> DataFrame:
     """Mode of a Gaussian kernel density on an even grid, bandwidth n^(-1/5) times the sample deviation.
 
-    Each value adds to every grid point; the sums are formed map-side, so a group sends at most
+    Each distinct value adds to every grid point; the sums are formed map-side, so a group sends at most
     ``grid`` rows per task however many values it has. Groups of one, or without spread, have no mode.
     """
     keys = list(keys)
     width = df.groupBy(*keys).agg((F.pow(F.count(value), F.lit(-0.2)) * F.stddev_samp(value)).alias("_h"))
     usable = df.join(width.where(F.col("_h") > 0), keys) if keys else df.withColumn("_h", width.scalar()).where(F.col("_h") > 0)
     step = (high - low) / (grid - 1)
-    spread = usable.select(*keys, F.col(value).alias("_v"), "_h", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_g"))
+    # Copies of a value count once with their number.
+    weighted = usable.groupBy(*keys, F.col(value).alias("_v"), "_h").agg(F.count(F.lit(1)).alias("_c"))
+    spread = weighted.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_g"))
     d = (F.lit(low) + F.col("_g") * step - F.col("_v")) / F.col("_h")
-    sums = spread.groupBy(*keys, "_g").agg(F.sum(F.exp(-0.5 * d * d)).alias("_s"))
+    sums = spread.groupBy(*keys, "_g").agg(F.sum(F.col("_c") * F.exp(-0.5 * d * d)).alias("_s"))
     best = sums.groupBy(*keys).agg(F.max(F.struct("_s", (-F.col("_g")).alias("b"))).alias("_b"))
     return best.select(*keys, (F.lit(low) - F.col("_b.b") * F.lit(step)).alias("mode"))
 

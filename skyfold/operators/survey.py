@@ -68,10 +68,10 @@ def homogenize(
         decided = ready if decided is None else decided.unionByName(ready)
         gains = waiting.join(ready.where("accepted").select(*unit), unit, "left_semi").groupBy(*place).agg(F.sum("gain").alias("depth"))
         grown = gains if reached is None else reached.unionByName(gains).groupBy(*place).agg(F.sum("depth").alias("depth"))
-        reached = materialize(grown, "reached")
         waiting = materialize(waiting.join(ready.select(*unit), unit, "left_anti"), "coverage")
         if waiting.isEmpty():
             return decided.select("mode", "expnum", "band", "accepted", "rank")
+        reached = materialize(grown.join(waiting.select(*place).distinct(), place, "left_semi"), "reached")
 
 
 def closest_exposure(exposures: DataFrame, target: float = 2.0, keys: Sequence[str] = ("tag", "band")) -> DataFrame:

@@ -23,7 +23,8 @@ def as_long(df: DataFrame, *names: str) -> DataFrame:
 
 
 def calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable = load_zeropoints(views.zeropoints(spark, sf_dir), views.blacklist(spark, sf_dir))
+    stored = materialize(views.zeropoints(spark, sf_dir), "zeropoints")
+    usable = load_zeropoints(stored, views.blacklisted(stored))
     return apply_zeropoints(views.detections(spark, sf_dir), usable)
 
 

@@ -134,8 +134,8 @@ _C = {"TP": "toxic = 1 AND quality = 1", "TN": "toxic = 0 AND quality = 0", "FP"
 CONFUSION_SQL = (
     "WITH c AS (SELECT CASE WHEN m = 20 THEN 9 ELSE CAST(floor(m/2 + 1e-9) AS BIGINT) END AS bin, " + ", ".join(f"count(*) FILTER (WHERE {v}) AS {k}" for k, v in _C.items())
     + " FROM (SELECT *, least(log2(n_chars + 1e0), 20) AS m FROM labels JOIN documents USING (doc_id)) GROUP BY 1), r AS (SELECT *, "
-    + ", ".join(f"{a}/nullif({b}, 0)::double AS {k}" for k, (a, b) in stats.CONFUSION_RATIOS.items())
-    + " FROM c) SELECT bin, " + ", ".join(_C) + ", " + ", ".join(f"round({k}, 6) AS {k}" for k in stats.CONFUSION_RATIOS)
+    + ", ".join(f"{a}/nullif({b}, 0)::double AS \"{k}\"" for k, (a, b) in stats.CONFUSION_RATIOS.items())
+    + " FROM c) SELECT bin, " + ", ".join(_C) + ", " + ", ".join(f"round(\"{k}\", 6) AS \"{k}\"" for k in stats.CONFUSION_RATIOS)
     + ", round((TP + TN)/nullif(P + N, 0)::double, 6) AS ACC, round(class_npos/nullif(P + N, 0)::double, 6) AS PRV, round(TPR/nullif(FPR, 0), 6) AS PLR, round(FNR/nullif(TNR, 0), 6) AS NLR FROM r"
 )
 

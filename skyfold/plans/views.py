@@ -27,7 +27,7 @@ DETECTION_COLUMNS = {
     "T_EFF": "1e-1 + l_quantity/5e1",
     "EXPTIME": "9e1",
     "FLAGS": "l_linenumber - 1",
-    "IMAFLAGS_ISO": "cast(l_partkey % 4096 as int)",
+    "IMAFLAGS_ISO": "cast(case when l_partkey % 3 = 0 then 2048 when l_partkey % 3 = 1 then 0 else l_partkey % 4096 end as int)",
     "SPREAD_MODEL": "(l_suppkey % 21 - 10)/1e3",
     "SPREADERR_MODEL": "1e-3 + l_discount/1e2",
     "CLASS_STAR": "(l_suppkey % 11)/1e1",
@@ -113,7 +113,11 @@ def zeropoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fiftieth exposure is excluded: a small list, joined with the whole tables."""
-    return zeropoints(spark, sf_dir).where("EXPNUM % 50 = 0").select(F.col("EXPNUM").alias("expnum"), F.col("CCDNUM").alias("ccdnum"))
+    return blacklisted(zeropoints(spark, sf_dir))
+
+
+def blacklisted(zeropoints_table: DataFrame) -> DataFrame:
+    return zeropoints_table.where("EXPNUM % 50 = 0").select(F.col("EXPNUM").alias("expnum"), F.col("CCDNUM").alias("ccdnum"))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:

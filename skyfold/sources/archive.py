@@ -49,16 +49,31 @@ def unit_name(expnum: int) -> str:
     return f"D{expnum:08d}"
 
 
-def file_pattern(expnum: int, reqnum: int, attnum: int) -> str:
-    return f"{unit_name(expnum)}_%_r{reqnum}p{attnum:02d}_%"
+def file_pattern(expnum: int | None, reqnum: int, attnum: int) -> str:
+    """Files of one processing; of every exposure when ``expnum`` is None."""
+    return f"{'D%' if expnum is None else unit_name(expnum)}_%_r{reqnum}p{attnum:02d}_%"
 
 
-def first_year_objects(t: Tables, expnum: int, tag: str) -> DataFrame:
+def _is(column: str, value) -> Column:
+    """Equality, or everything for None."""
+    return F.lit(True) if value is None else F.col(column) == value
+
+
+def _unit(expnum: int | None, reqnum: int, attnum: int) -> Column:
+    return _is("UNITNAME", None if expnum is None else unit_name(expnum)) & (F.col("REQNUM") == reqnum) & (F.col("ATTNUM") == attnum)
+
+
+def _unit_files(objects: DataFrame, expnum: int | None, reqnum: int, attnum: int) -> DataFrame:
+    """Objects of the files of a processing, with the unit their file name starts with."""
+    return objects.where(F.col("FILENAME").like(file_pattern(expnum, reqnum, attnum))).withColumn("UNITNAME", F.substring_index("FILENAME", "_", 1))
+
+
+def first_year_objects(t: Tables, expnum: int | None, tag: str) -> DataFrame:
     """Calibrated first-year objects of one exposure with fluxes made from magnitudes. Tables: eval, objects, image."""
-    ev = t["eval"].where(F.col("EXPNUM") == expnum).select("EXPOSUREID", F.col("EXPNUM").alias("_exp"), "T_EFF")
+    ev = t["eval"].where(_is("EXPNUM", expnum)).select("EXPOSUREID", F.col("EXPNUM").alias("_exp"), "T_EFF")
     image = t["image"].select("EXPOSUREID", F.col("ID").alias("IMAGEID"), "EXPNUM", F.col("CCD").alias("CCDNUM"), "BAND")
     objects = t["objects"].where((F.col("MAG_PSF") < 90) & (F.col("MAG_AUTO") < 90) & (F.col("FLAGS") < 4) & (F.col("MAGERR_PSF") < 0.5))
-    joined = ev.join(image, "EXPOSUREID").join(objects.drop("BAND", "EXPNUM"), "IMAGEID")
+    joined = ev.join(image, "EXPOSUREID").join(objects.drop("BAND", "EXPNUM", "CCDNUM", "T_EFF", "FILENAME"), "IMAGEID")
     unit = F.concat(F.lit("D00"), F.col("_exp").cast("string"))
     flux = F.pow(F.lit(10.0), (F.col("MAG_PSF") - 25.0) / -2.5)
     return joined.select(
@@ -69,14 +84,11 @@ def first_year_objects(t: Tables, expnum: int, tag: str) -> DataFrame:
     )
 
 
-def single_epoch_objects(t: Tables, expnum: int, reqnum: int, attnum: int, tag: str) -> DataFrame:
+def single_epoch_objects(t: Tables, expnum: int | None, reqnum: int, attnum: int, tag: str) -> DataFrame:
     """Objects of one processed exposure, away from chip edges. Tables: se_object, firstcut_eval."""
-    ev = t["firstcut_eval"].where((F.col("UNITNAME") == unit_name(expnum)) & (F.col("REQNUM") == reqnum) & (F.col("ATTNUM") == attnum))
-    objects = t["se_object"].where(
-        F.col("FILENAME").like(file_pattern(expnum, reqnum, attnum)) & _measured(image_flags=False)
-        & F.col("XWIN_IMAGE").between(*X_EDGE) & F.col("YWIN_IMAGE").between(*Y_EDGE)
-    ).withColumn("UNITNAME", F.lit(unit_name(expnum)))
-    # The unit is fixed on both sides, so the join carries it as an equality.
+    ev = t["firstcut_eval"].where(_unit(expnum, reqnum, attnum))
+    inside = F.col("XWIN_IMAGE").between(*X_EDGE) & F.col("YWIN_IMAGE").between(*Y_EDGE)
+    objects = _unit_files(t["se_object"].where(_measured(image_flags=False) & inside), expnum, reqnum, attnum)
     joined = objects.join(ev.select("UNITNAME", "REQNUM", "ATTNUM", "EXPNUM", "T_EFF"), "UNITNAME")
     return joined.select(
         "FILENAME", "UNITNAME", "REQNUM", "ATTNUM", F.lit(tag).alias("TAG"), "EXPNUM", F.substring("FILENAME", 14, 2).cast("int").alias("CCDNUM"),
@@ -84,12 +96,11 @@ def single_epoch_objects(t: Tables, expnum: int, reqnum: int, attnum: int, tag:
     )
 
 
-def tagged_unit_objects(t: Tables, expnum: int, reqnum: int, attnum: int, tag: str) -> DataFrame:
+def tagged_unit_objects(t: Tables, expnum: int | None, reqnum: int, attnum: int, tag: str) -> DataFrame:
     """Objects of one tagged processing, older form without attempt ids. Tables: se_object, qa_summary, proctag."""
-    unit = (F.col("UNITNAME") == unit_name(expnum)) & (F.col("REQNUM") == reqnum) & (F.col("ATTNUM") == attnum) & (F.col("TAG") == tag)
-    tags = t["proctag"].where(unit).select("UNITNAME", "REQNUM", "ATTNUM", "TAG", "PFW_ATTEMPT_ID")
+    tags = t["proctag"].where(_unit(expnum, reqnum, attnum) & (F.col("TAG") == tag)).select("UNITNAME", "REQNUM", "ATTNUM", "TAG", "PFW_ATTEMPT_ID")
     qa = t["qa_summary"].select("PFW_ATTEMPT_ID", "EXPNUM", "T_EFF")
-    objects = t["se_object"].where(F.col("FILENAME").like(file_pattern(expnum, reqnum, attnum)) & _measured()).withColumn("UNITNAME", F.lit(unit_name(expnum)))
+    objects = _unit_files(t["se_object"].where(_measured()), expnum, reqnum, attnum)
     joined = objects.join(tags.join(qa, "PFW_ATTEMPT_ID"), "UNITNAME")
     return joined.select(
         "FILENAME", "UNITNAME", "REQNUM", "ATTNUM", "TAG", "EXPNUM", F.substring("FILENAME", 14, 2).cast("int").alias("CCDNUM"), _char1("BAND"), "T_EFF",
@@ -112,25 +123,25 @@ def _attempt_columns(joined: DataFrame) -> DataFrame:
     return joined.select("FILENAME", *ATTEMPT_OUTPUT, _char1("BAND"), "T_EFF", "FWHM_WORLD", "FLAGS", "OBJECT_NUMBER", *PHOTOMETRY, *SHAPE, *CLASS)
 
 
-def attempt_objects(t: Tables, pfw_attempt_id: int, tag: str) -> DataFrame:
+def attempt_objects(t: Tables, pfw_attempt_id: int | None, tag: str) -> DataFrame:
     """Objects of one processing attempt. Tables: se_object, qa_summary, proctag, pfw_attempt, catalog."""
-    chain = _attempt_chain(t, tag).where(F.col("PFW_ATTEMPT_ID") == pfw_attempt_id)
+    chain = _attempt_chain(t, tag).where(_is("PFW_ATTEMPT_ID", pfw_attempt_id))
     return _attempt_columns(t["se_object"].where(_measured()).join(chain, "FILENAME"))
 
 
-def unit_objects(t: Tables, expnum: int, reqnum: int, attnum: int, tag: str) -> DataFrame:
+def unit_objects(t: Tables, expnum: int | None, reqnum: int, attnum: int, tag: str) -> DataFrame:
     """Objects by unit, request and attempt. Tables as in ``attempt_objects``."""
-    chain = _attempt_chain(t, tag).where((F.col("UNITNAME") == unit_name(expnum)) & (F.col("REQNUM") == reqnum) & (F.col("ATTNUM") == attnum))
+    chain = _attempt_chain(t, tag).where(_unit(expnum, reqnum, attnum))
     objects = t["se_object"].where(F.col("FILENAME").like(file_pattern(expnum, reqnum, attnum)) & _measured())
     return _attempt_columns(objects.join(chain, "FILENAME"))
 
 
-def release_objects(t: Tables, pfw_attempt_id: int, tag: str) -> DataFrame:
+def release_objects(t: Tables, pfw_attempt_id: int | None, tag: str) -> DataFrame:
     """Objects of a release with exposure time and date. Tables: finalcut_object, qa_summary, proctag, exposure, catalog.
 
     Serves both releases of the kind: pass the tables and tag of the one wanted.
     """
-    files = t["catalog"].where(F.col("PFW_ATTEMPT_ID") == pfw_attempt_id).select("PFW_ATTEMPT_ID", "FILENAME", "CCDNUM")
+    files = t["catalog"].where(_is("PFW_ATTEMPT_ID", pfw_attempt_id)).select("PFW_ATTEMPT_ID", "FILENAME", "CCDNUM")
     tags = t["proctag"].where(F.col("TAG") == tag).select("PFW_ATTEMPT_ID", "TAG")
     qa = t["qa_summary"].select("PFW_ATTEMPT_ID", "EXPNUM", "T_EFF")
     exposure = t["exposure"].select("EXPNUM", "MJD_OBS", "EXPTIME")
@@ -402,8 +413,8 @@ def edge_extract(t: Tables, pattern: str) -> DataFrame:
     return t["se_object"].where(F.col("FILENAME").like(pattern)).select("RA", "DEC", "FLUX_PSF", "FLUX_AUTO", "X_IMAGE", "Y_IMAGE")
 
 
-def first_year_edge_extract(t: Tables, expnum: int) -> DataFrame:
+def first_year_edge_extract(t: Tables, expnum: int | None) -> DataFrame:
     """The same for first-year tables: eval, objects, image."""
-    ev = t["eval"].where(F.col("EXPNUM") == expnum).select("EXPOSUREID")
+    ev = t["eval"].where(_is("EXPNUM", expnum)).select("EXPOSUREID")
     image = t["image"].select("EXPOSUREID", F.col("ID").alias("IMAGEID"))
     return ev.join(image, "EXPOSUREID").join(t["objects"], "IMAGEID").select("RA", "DEC", "MAG_PSF", "MAG_AUTO", "X_IMAGE", "Y_IMAGE")
