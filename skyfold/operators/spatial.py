@@ -76,9 +76,9 @@ def in_covering_cells(df: DataFrame, radius: float, height: float, ra: str = "ra
 
 
 def as_points(df: DataFrame, id_col: str, ra: str = "RA", dec: str = "DEC", keep: Sequence[str] = ()) -> DataFrame:
-    """``id, ra, dec, x, y, z`` plus kept columns. NULL or NaN positions fail the query."""
-    bad = F.col(ra).isNull() | F.col(dec).isNull() | F.isnan(F.col(ra)) | F.isnan(F.col(dec))
-    checked = F.when(bad, F.raise_error(F.lit("invalid position: NULL or NaN")).cast("double")).otherwise(F.pmod(F.col(ra).cast("double"), F.lit(360.0)))
+    """``id, ra, dec, x, y, z`` plus kept columns. NULL, NaN or impossible positions fail the query."""
+    bad = F.col(ra).isNull() | F.col(dec).isNull() | F.isnan(F.col(ra)) | F.isnan(F.col(dec)) | (F.abs(F.col(dec)) > 90.0)
+    checked = F.when(bad, F.raise_error(F.lit("invalid position")).cast("double")).otherwise(F.pmod(F.col(ra).cast("double"), F.lit(360.0)))
     base = df.select(F.col(id_col).alias("id"), checked.alias("ra"), F.col(dec).cast("double").alias("dec"), *keep)
     return base.withColumns(dict(zip("xyz", unit_vector(F.col("ra"), F.col("dec")))))
 

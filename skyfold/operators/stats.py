@@ -27,7 +27,7 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, low: float, high:
     width = (high - low) / bins
     v = real(F.col(value))
     if overflow:
-        v = F.greatest(F.least(v, F.lit(high)), F.lit(low))
+        v = F.when(v.isNotNull(), F.greatest(F.least(v, F.lit(high)), F.lit(low)))
     binned = df.withColumn("bin", bin_index(v, low, width, bins)).where(F.col("bin").isNotNull())
     return binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("left", F.lit(low) + F.col("bin") * width)
 

@@ -73,9 +73,9 @@ def first_year_objects(spark, sf):
 
 
 FIRST_YEAR_SQL = oracle(
-    "SELECT concat('D00', d.EXPNUM, '_', BAND, '_c', CCDNUM, '_fake.fits') AS FILENAME, concat('D00', d.EXPNUM) AS UNITNAME, d.EXPNUM, CCDNUM, BAND, count(*) AS n, round(sum(pow(10e0, (30 - 25e-1*log10(FLUX_PSF) - 25)/(-25e-1))), 4) AS flux, "
+    "SELECT concat('D00', d.EXPNUM, '_', d.BAND, '_c', CCDNUM, '_fake.fits') AS FILENAME, concat('D00', d.EXPNUM) AS UNITNAME, d.EXPNUM, CCDNUM, d.BAND AS BAND, count(*) AS n, round(sum(pow(10e0, (30 - 25e-1*log10(FLUX_PSF) - 25)/(-25e-1))), 4) AS flux, "
     "round(sum(pow(10e0, (30 - 25e-1*log10(FLUX_PSF) - 25)/(-25e-1))*(FLUXERR_PSF/FLUX_PSF*11e-1)/10857362e-7), 4) AS fluxerr, round(max(e.t_eff), 4) AS t_eff "
-    f"{_OBJ_FROM} WHERE FLAGS < 4 AND FLUXERR_PSF/FLUX_PSF*11e-1 < 5e-1 GROUP BY d.EXPNUM, CCDNUM, BAND", "detections_v", "exposures_v",
+    f"{_OBJ_FROM} WHERE FLAGS < 4 AND FLUXERR_PSF/FLUX_PSF*11e-1 < 5e-1 GROUP BY d.EXPNUM, CCDNUM, d.BAND", "detections_v", "exposures_v",
 )
 
 

@@ -53,7 +53,7 @@ def test_catalog_and_keys(spark):
     assert marked == {1: -1, 2: 7, 3: 7}
     full, allkeys = coadd.coadd_objects(df.where("MAG_PSF < 99"), "id")
     assert coadd.key_balance(*coadd.quality_cuts(full, allkeys)).first().balanced
-    assert set(band_columns("MAG_PSF", "grizY")) <= set(catalog.columns)
+    assert set(band_columns("MAG_PSF", list("grizY"))) <= set(catalog.columns)
 
 
 def test_magnitude_sentinels(spark):

@@ -20,7 +20,7 @@ def test_every_center_returns_to_its_pixel(spark, nside):
 
 
 def test_large_nside_poles_and_belt(spark):
-    rows = [(0, 90.0), (10.0, -90.0), (359.999, 89.9999), (45.0, 41.8103), (0.0, 0.0), (360.0, 0.0), (180.0, -41.8104)]
+    rows = [(0.0, 90.0), (10.0, -90.0), (359.999, 89.9999), (45.0, 41.8103), (0.0, 0.0), (360.0, 0.0), (180.0, -41.8104)]
     df = spark.createDataFrame(rows, "lon double, lat double")
     out = hp.with_pixel(hp.with_pixel(df, 2048, "lon", "lat", name="r"), 2048, "lon", "lat", nest=True, name="n")
     out = hp.nest_to_ring(out, 2048, "n", "r2")

@@ -87,9 +87,9 @@ def test_depth_of_a_known_slope(spark):
     rng = np.random.default_rng(5)
     mag = np.concatenate([rng.uniform(18, 22, 300), np.full(60, 22.05)])
     n = len(mag)
-    pdf = pd.DataFrame({"id": np.arange(n), "HPX": 0, "RA": rng.uniform(10, 12, n), "DEC": rng.uniform(0, 2, n), "MAG_PSF_G": mag, "MAGERR_PSF_G": 10 ** (0.4 * (mag - 24)), "WAVG_SPREAD_MODEL_G": 0.0})
+    pdf = pd.DataFrame({"id": np.arange(n), "HPX": 0, "RA": rng.uniform(10, 12, n), "DEC": rng.uniform(0, 2, n), "MAG_PSF_G": mag, "MAGERR_PSF_G": 10 ** (0.4 * (mag - 24) + rng.normal(0, 0.01, n)), "WAVG_SPREAD_MODEL_G": 0.0})
     out = maps.depth_map(spark.createDataFrame(pdf), "id", nside=4, snr=10.0, bands=["g"]).toPandas()
-    assert np.allclose(out.maglim, 24 + math.log10(2.5 / math.log(10) / 10) / 0.4, atol=0.05)
+    assert np.allclose(out.maglim, 24 + math.log10(2.5 / math.log(10) / 10) / 0.4, atol=0.2)
 
 
 def test_masks(spark):
