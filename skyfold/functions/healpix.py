@@ -1,6 +1,6 @@
 """HEALPix indexing (Gorski et al. 2005) as staged integer columns.
 
-Every function takes a DataFrame and adds columns. Values used several times are computed once by ``_fixed``:
+Every function takes a DataFrame and adds columns. Values used several times are computed once by ``fixed``:
 the optimizer merges plain projections and would copy a deep expression into each of its uses, while the
 output of a one-row ``inline`` is an attribute. Both stay inside whole-stage codegen.
 """
@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skyfold.functions.staging import fixed
+
 FULL_SKY_DEG2 = 4.0 * math.pi * (180.0 / math.pi) ** 2
 
 
@@ -38,11 +40,6 @@ def _order(nside: int) -> int:
     return order
 
 
-def _fixed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Adds columns that later expressions refer to by name, never by copy."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def _long(column: Column) -> Column:
     return F.floor(column).cast("long")
 
@@ -78,7 +75,7 @@ def with_pixel(
     staged = staged.withColumns(
         {"_hbelt": belt, "_htp": tt - F.floor(tt), "_hcap": n * F.col("_hs") / F.sqrt((1.0 + za) / 3.0)}
     )
-    staged = _fixed(
+    staged = fixed(
         staged,
         {
             "_hjp": F.when(F.col("_hbelt"), _long(n * (0.5 + tt) - n * z * 0.75)).otherwise(_long(F.col("_htp") * F.col("_hcap"))),
@@ -106,7 +103,7 @@ def with_pixel(
     face_belt = F.when(fp == fm, fp.bitwiseOR(F.lit(4).cast("long"))).when(fp < fm, fp).otherwise(fm + 8)
     quarter = F.least(F.floor(tt).cast("long"), F.lit(3).cast("long"))
     cjp, cjm = F.least(jp, last), F.least(jm, last)
-    staged = _fixed(
+    staged = fixed(
         staged,
         {
             "_hface": F.when(F.col("_hbelt"), face_belt).when(z >= 0, quarter).otherwise(quarter + 8),
@@ -134,7 +131,7 @@ def _with_ring(df: DataFrame, nside: int, pix: str) -> DataFrame:
         .when(south, F.shiftright(1 + _isqrt(2 * (total - p) - 1), 1))
         .otherwise(F.floor((p - ncap) / (4 * n)).cast("long") + n)
     )
-    staged = _fixed(df, {"_ring": ring})
+    staged = fixed(df, {"_ring": ring})
     i = F.col("_ring")
     along = (
         F.when(north, p + 1 - 2 * i * (i - 1))
@@ -167,8 +164,8 @@ def with_pixel_center(
 
 def nest_to_ring(df: DataFrame, nside: int, pix: str = "pix", name: str = "ring") -> DataFrame:
     n, order = nside, _order(nside)
-    staged = _fixed(df, {"_nf": F.floor(F.col(pix) / (n * n)).cast("long"), "_nl": F.pmod(F.col(pix), F.lit(n * n).cast("long"))})
-    staged = _fixed(staged, {"_nx": _gather("_nl", order, 0), "_ny": _gather("_nl", order, 1)})
+    staged = fixed(df, {"_nf": F.floor(F.col(pix) / (n * n)).cast("long"), "_nl": F.pmod(F.col(pix), F.lit(n * n).cast("long"))})
+    staged = fixed(staged, {"_nx": _gather("_nl", order, 0), "_ny": _gather("_nl", order, 1)})
     face, ix, iy = F.col("_nf"), F.col("_nx"), F.col("_ny")
     row = F.floor(face / 4).cast("long")
     # Longitude (in eighths) of the face's southern corner: even faces of the belt start at zero.
@@ -220,7 +217,7 @@ def _ring_geometry(df: DataFrame, nside: int, ring: str, prefix: str) -> DataFra
     """First pixel, length, half-pixel shift and colatitude of a ring (1 .. 4*nside-1)."""
     n, total, ncap = nside, npix(nside), 2 * nside * (nside - 1)
     r = F.col(ring)
-    staged = _fixed(df, {f"{prefix}nr": F.when(r > 2 * n, 4 * n - r).otherwise(r)})
+    staged = fixed(df, {f"{prefix}nr": F.when(r > 2 * n, 4 * n - r).otherwise(r)})
     nr = F.col(f"{prefix}nr")
     cap = (nr * nr).cast("double") * (4.0 / total)
     in_cap = nr < n
@@ -234,7 +231,7 @@ def _ring_geometry(df: DataFrame, nside: int, ring: str, prefix: str) -> DataFra
         f"{prefix}len": length, f"{prefix}shift": shifted, f"{prefix}start": F.when(south, total - start - length).otherwise(start),
         f"{prefix}theta": F.when(south, math.pi - theta).otherwise(theta),
     }
-    return _fixed(staged, columns).drop(f"{prefix}nr")
+    return fixed(staged, columns).drop(f"{prefix}nr")
 
 
 def _ring_above(n: int, z: Column) -> Column:
@@ -249,19 +246,19 @@ def with_interpolation(df: DataFrame, nside: int, lon: str, lat: str, name: str
     Adds ``array<struct<pix: long, weight: double>>``.
     """
     n, total = nside, npix(nside)
-    staged = _fixed(
+    staged = fixed(
         df,
         {"_iz": F.sin(F.radians(F.col(lat))), "_iph": F.radians(F.pmod(F.col(lon), F.lit(360.0))), "_ith": F.radians(90.0 - F.col(lat))},
     )
-    staged = _fixed(staged, {"_ia": _ring_above(n, F.col("_iz"))})
+    staged = fixed(staged, {"_ia": _ring_above(n, F.col("_iz"))})
     first, last = F.lit(1).cast("long"), F.lit(4 * n - 1).cast("long")
-    staged = _fixed(staged, {"_ra": F.greatest(F.col("_ia"), first), "_rb": F.least(F.col("_ia") + 1, last)})
+    staged = fixed(staged, {"_ra": F.greatest(F.col("_ia"), first), "_rb": F.least(F.col("_ia") + 1, last)})
     drops = ["_iz", "_iph", "_ith", "_ia", "_ra", "_rb"]
     for ring, p in (("_ra", "_u"), ("_rb", "_l")):
         staged = _ring_geometry(staged, n, ring, p)
-        staged = _fixed(staged, {f"{p}t": F.col("_iph") / (2.0 * math.pi / F.col(f"{p}len")) - F.col(f"{p}shift")})
+        staged = fixed(staged, {f"{p}t": F.col("_iph") / (2.0 * math.pi / F.col(f"{p}len")) - F.col(f"{p}shift")})
         i = _long(F.col(f"{p}t"))
-        staged = _fixed(
+        staged = fixed(
             staged,
             {
                 f"{p}w": F.col(f"{p}t") - i, f"{p}p1": F.col(f"{p}start") + F.pmod(i, F.col(f"{p}len")),
@@ -275,7 +272,7 @@ def with_interpolation(df: DataFrame, nside: int, lon: str, lat: str, name: str
         .when(bottom, (F.col("_ith") - F.col("_utheta")) / (math.pi - F.col("_utheta")))
         .otherwise((F.col("_ith") - F.col("_utheta")) / (F.col("_ltheta") - F.col("_utheta")))
     )
-    staged = _fixed(staged, {"_is": share})
+    staged = fixed(staged, {"_is": share})
     s = F.col("_is")
     # At a pole the missing ring is the pole itself: its weight is spread over the four pixels around it.
     quarter = F.when(top, (1.0 - s) / 4.0).when(bottom, s / 4.0).otherwise(0.0)
@@ -310,7 +307,7 @@ def disc_pixels(
     lat0 = F.radians(F.col(lat))
     # cos(dphi) on the ring; out of [-1, 1] means none or all of the ring
     reach = F.lit(math.cos(math.radians(radius))) - F.cos("_dtheta") * F.sin(lat0)
-    staged = _fixed(staged, {"_dc": F.try_divide(reach, F.sin("_dtheta") * F.cos(lat0))})
+    staged = fixed(staged, {"_dc": F.try_divide(reach, F.sin("_dtheta") * F.cos(lat0))})
     c = F.col("_dc")
     pole = F.abs(F.col(lat)) >= 90.0 - 1e-12
     inside_pole = F.abs(F.degrees(F.col("_dtheta")) - (90.0 - F.col(lat))) <= radius

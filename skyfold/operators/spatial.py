@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyfold.functions.coords import chord, chord_to_angle, unit_vector
+from skyfold.functions.staging import fixed
 from skyfold.session import materialize
 
 HOT_CELL_ROWS = 20_000
@@ -42,10 +43,10 @@ def with_cell(df: DataFrame, height: float, ra: str = "ra", dec: str = "dec", na
     """Adds the cell a position lies in."""
     last = F.lit(_last_zone(height)).cast("long")
     zone = F.greatest(F.least(F.floor((F.col(dec) + 90.0) / height).cast("long"), last), F.lit(0).cast("long"))
-    staged = df.withColumn("_zone", zone)
-    staged = staged.withColumn("_cells", _zone_cells(F.col("_zone"), height, shrink))
+    staged = fixed(df, {"_zone": zone})
+    staged = fixed(staged, {"_cells": _zone_cells(F.col("_zone"), height, shrink)})
     slot = F.pmod(F.floor(F.pmod(F.col(ra), F.lit(360.0)) / 360.0 * F.col("_cells")).cast("long"), F.col("_cells"))
-    return staged.withColumn(name, F.shiftleft(F.col("_zone"), 32) + slot).drop("_zone", "_cells")
+    return fixed(staged, {name: F.shiftleft(F.col("_zone"), 32) + slot}).drop("_zone", "_cells")
 
 
 def in_covering_cells(df: DataFrame, radius: float, height: float, ra: str = "ra", dec: str = "dec", name: str = "cell") -> DataFrame:
@@ -59,28 +60,31 @@ def in_covering_cells(df: DataFrame, radius: float, height: float, ra: str = "ra
     half = F.when(near_pole, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(math.sin(math.radians(min(r, 90.0))) / F.cos(F.radians(F.col(dec))), F.lit(1.0))))
     )
-    staged = df.withColumns({"_z0": low, "_z1": high, "_half": half * (1.0 + 1e-9) + 1e-12, "_lon": F.pmod(F.col(ra), F.lit(360.0))})
+    staged = fixed(df, {"_z0": low, "_z1": high, "_half": half * (1.0 + 1e-9) + 1e-12, "_lon": F.pmod(F.col(ra), F.lit(360.0))})
     staged = staged.withColumn("_zone", F.explode(F.sequence("_z0", "_z1")))
-    staged = staged.withColumn("_cells", _zone_cells(F.col("_zone"), height, False))
-    staged = staged.withColumns(
+    staged = fixed(staged, {"_cells": _zone_cells(F.col("_zone"), height, False)})
+    staged = fixed(
+        staged,
         {
             "_s0": F.floor((F.col("_lon") - F.col("_half")) / 360.0 * F.col("_cells")).cast("long"),
             "_s1": F.floor((F.col("_lon") + F.col("_half")) / 360.0 * F.col("_cells")).cast("long"),
-        }
+        },
     )
-    staged = staged.withColumn("_s1", F.least(F.col("_s1"), F.col("_s0") + F.col("_cells") - 1))
-    staged = staged.withColumn("_slot", F.explode(F.sequence("_s0", "_s1")))
-    return staged.withColumn(name, F.shiftleft(F.col("_zone"), 32) + F.pmod(F.col("_slot"), F.col("_cells"))).drop(
+    last_slot = F.least(F.col("_s1"), F.col("_s0") + F.col("_cells") - 1)
+    staged = staged.withColumn("_slot", F.explode(F.sequence(F.col("_s0"), last_slot)))
+    return fixed(staged, {name: F.shiftleft(F.col("_zone"), 32) + F.pmod(F.col("_slot"), F.col("_cells"))}).drop(
         "_z0", "_z1", "_half", "_lon", "_zone", "_cells", "_s0", "_s1", "_slot"
     )
 
 
 def as_points(df: DataFrame, id_col: str, ra: str = "RA", dec: str = "DEC", keep: Sequence[str] = ()) -> DataFrame:
     """``id, ra, dec, x, y, z`` plus kept columns. NULL, NaN or impossible positions fail the query."""
-    bad = F.col(ra).isNull() | F.col(dec).isNull() | F.isnan(F.col(ra)) | F.isnan(F.col(dec)) | (F.abs(F.col(dec)) > 90.0)
-    checked = F.when(bad, F.raise_error(F.lit("invalid position")).cast("double")).otherwise(F.pmod(F.col(ra).cast("double"), F.lit(360.0)))
-    base = df.select(F.col(id_col).alias("id"), checked.alias("ra"), F.col(dec).cast("double").alias("dec"), *keep)
-    return base.withColumns(dict(zip("xyz", unit_vector(F.col("ra"), F.col("dec")))))
+    lon, lat = F.col("_ra"), F.col("_dec")
+    bad = lon.isNull() | lat.isNull() | F.isnan(lon) | F.isnan(lat) | (F.abs(lat) > 90.0)
+    checked = F.when(bad, F.raise_error(F.lit("invalid position")).cast("double")).otherwise(F.pmod(lon.cast("double"), F.lit(360.0)))
+    base = df.select(F.col(id_col).alias("id"), F.col(ra).alias("_ra"), F.col(dec).alias("_dec"), *keep)
+    base = fixed(base, {"ra": checked, "dec": F.col("_dec").cast("double")}).drop("_ra", "_dec")
+    return fixed(base, dict(zip("xyz", unit_vector(F.col("ra"), F.col("dec")))))
 
 
 def chord2(a: str, b: str) -> Column:
