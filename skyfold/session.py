@@ -27,20 +27,29 @@ def build_session(cores: str = "*", app: str = "skyfold", shuffle_partitions: in
     return builder.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
-    machine-local folder: elsewhere a lost executor would take its part of the table with it.
+    machine-local folder of its own: elsewhere a lost executor would take its part of the table with it.
     """
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="skyfold-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="skyfold-")
+    return _own_folders[context.applicationId]
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the scratch folder that nothing has been written to."""
+    return os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
@@ -49,7 +58,19 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     Cuts the lineage of iterative operators and survives executor loss. A written table is computed
     once, while a reliable RDD checkpoint computes its input twice.
     """
-    spark = df.sparkSession
-    path = os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    path = new_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame | None) -> None:
+    """Deletes the files behind a table that :func:`materialize` returned; nothing may read it afterwards."""
+    if table is None:
+        return
+    spark = table.sparkSession
+    home = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark)).toUri().getPath().rstrip("/") + "/"
+    for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not path.toUri().getPath().startswith(home):
+            raise ValueError(f"not a scratch table: {folder}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
