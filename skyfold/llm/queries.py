@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import simhash
+from skyfold.llm import simhash, token_files
 from skyfold.llm.common import Query, table
+from skyfold.session import new_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +17,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "token-ids")
+    manifest = token_files.write_ids(table(spark, sf_dir, "documents"), folder, TOKENIZER)
+    return token_files.read_ids(spark, folder, manifest)
+
+
 REGISTERED: dict[str, Query] = {
     "op9_simhash": (op9_simhash, None),
+    "op10_token_ids": (op10_token_ids, None),
 }
