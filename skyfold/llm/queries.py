@@ -5,13 +5,49 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import simhash, token_files
+from skyfold.llm import positional, simhash, token_files
 from skyfold.llm.common import Query, table
 from skyfold.session import new_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+OP6_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), w AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(list_slice(words, i + 1, i + 10), ' ') AS phrase
+    FROM (SELECT item_id, words, unnest(range(0, greatest(len(words) - 10, 0) + 1)) AS i FROM b WHERE len(words) > 0)
+), grams AS (
+    SELECT doc_id, n, i, array_to_string(list_slice(words, i + 1, i + n), ' ') AS phrase
+    FROM (SELECT doc_id, n, words, unnest(range(0, len(words) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM w) WHERE len(words) >= n)
+), hits AS (
+    SELECT DISTINCT doc_id, item_id, n, i FROM grams JOIN w USING (n, phrase)
+), places AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -24,6 +60,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Query] = {
+    "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op9_simhash": (op9_simhash, None),
     "op10_token_ids": (op10_token_ids, None),
 }
