@@ -5,7 +5,7 @@ shingles. Fingerprints link at ``MAX_BITS`` or fewer differing bits. Links are f
 
 *Blocks.* The bits are cut into ``MAX_BITS + t`` blocks. Two linked fingerprints agree on at least ``t`` blocks,
 so every choice of ``t`` blocks gives one key per fingerprint, and linked ones share a key for some choice. ``t``
-follows the number of distinct fingerprints; the result is the same for each ``t``.
+is a parameter: the result is the same for each, a larger one makes more keys and fewer chance meetings.
 
 *Pivots.* Within a key, every fingerprint has its row of Hamming distances to ``PIVOTS`` reference fingerprints.
 By the triangle inequality no coordinate of a linked pair differs by more than ``MAX_BITS``. Rows are sorted by the
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +33,7 @@ from skyfold.session import materialize
 SHINGLE = 4
 SEED = 42
 MAX_BITS = 4
+SHARED_BLOCKS = 3
 PIVOTS = 24
 PIECE = 4096
 CHUNK = 1 << 14
@@ -78,12 +78,6 @@ def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def shared_blocks(distinct: int) -> int:
-    """How many blocks a key takes: more of them for more fingerprints, so that chance meetings stay few."""
-    cost = {t: comb(MAX_BITS + t, t) * (1 + 0.05 * distinct / 2 ** (64 * t // (MAX_BITS + t))) for t in range(1, 5)}
-    return min(cost, key=cost.get)
-
-
 def block_keys(fp: Column, t: int) -> Column:
     """Array of ``(choice, key)``: the fingerprint masked to each choice of ``t`` out of ``MAX_BITS + t`` blocks."""
     edges = [64 * i // (MAX_BITS + t) for i in range(MAX_BITS + t + 1)]
@@ -167,12 +161,11 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solved(data[:4], data[4])
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, t: int = SHARED_BLOCKS) -> DataFrame:
     """``(a, b)``: links that connect the same fingerprints as all pairs within ``MAX_BITS`` do.
 
     ``distinct`` holds each fingerprint once in column ``fp``. Only keys that two fingerprints share are dealt out.
     """
-    t = shared_blocks(distinct.count())
     keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"), t)).alias("k")).select("fp", "k.choice", "k.key")
     shared = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     dealt = keyed.join(shared, ["choice", "key"]).withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int"))
