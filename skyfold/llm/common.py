@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from skyfold.session import materialize
 
@@ -53,3 +54,45 @@ def running_totals(df: DataFrame, keys: list[str], totals: dict[str, str], label
     own = ranged.select("*", *[F.coalesce(F.sum(column).over(inside), F.lit(0)).alias(f"_own_{name}") for name, column in totals.items()])
     joined = own.join(F.broadcast(offsets), "_part")
     return joined.select(*df.columns, *[(F.col(f"_own_{name}") + F.col(f"_off_{name}")).alias(name) for name in totals])
+
+
+class Bounded(dict):
+    """Computes missing values and starts anew when it holds ``most`` of them."""
+
+    def __init__(self, compute: Callable, most: int = 400_000):
+        super().__init__()
+        self.compute, self.most = compute, most
+
+    def __missing__(self, key):
+        value = self.compute(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value
+        return value
+
+
+def fold(doc_id: Column, folds: int) -> Column:
+    """``crc32(doc_id as text) mod folds``; a null id is in no fold."""
+    return F.crc32(doc_id.cast("long").cast("string").cast("binary")) % folds
+
+
+def sampled_labels(labels: DataFrame, name: str, kept: Column, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids and 0/1 labels of about ``bound`` labelled rows at most, chosen by a hash of the id.
+
+    A document with several labels counts by the largest; null ids and labels are left out. The bound makes the
+    arrays fit for a broadcast at any number of labels.
+    """
+    given = labels.where(F.col("doc_id").isNotNull() & F.col(name).isNotNull()).groupBy("doc_id").agg(F.max(F.col(name).cast("int")).alias("label")).where(kept)
+    share = min(1.0, bound / max(1, given.count()))
+    rows = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share)).toPandas().sort_values("doc_id")
+    return rows["doc_id"].to_numpy(np.int64), (rows["label"].to_numpy() > 0).astype(np.int64)
+
+
+def label_of(doc_ids: pa.Array, known: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The label of each id, -1 for ids without one."""
+    ids = np.array([-1 if d is None else d for d in doc_ids.to_pylist()], np.int64)
+    if not len(known):
+        return np.full(len(ids), -1)
+    at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+    there = (known[at] == ids) & np.asarray(doc_ids.is_valid())
+    return np.where(there, labels[at], -1)

@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import positional, simhash, token_files
+from skyfold.llm import positional, simhash, token_files, toxicity
 from skyfold.llm.common import Query, table
 from skyfold.session import new_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -60,6 +64,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Query] = {
+    "op3_toxicity": (op3_toxicity, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op9_simhash": (op9_simhash, None),
     "op10_token_ids": (op10_token_ids, None),
