@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import positional, simhash, token_files, toxicity
+from skyfold.llm import positional, quality, simhash, token_files, toxicity
 from skyfold.llm.common import Query, table
 from skyfold.session import new_path
 
@@ -52,6 +52,10 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -66,6 +70,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, Query] = {
     "op3_toxicity": (op3_toxicity, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
+    "op8_quality": (op8_quality, None),
     "op9_simhash": (op9_simhash, None),
     "op10_token_ids": (op10_token_ids, None),
 }
