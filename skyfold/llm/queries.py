@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import positional, quality, simhash, token_files, toxicity
+from skyfold.llm import positional, quality, simhash, spotsigs, token_files, toxicity
 from skyfold.llm.common import Query, table
 from skyfold.session import new_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.following_pairs(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,6 +72,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Query] = {
+    "op1_spotsigs": (op1_spotsigs, None),
     "op3_toxicity": (op3_toxicity, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op8_quality": (op8_quality, None),
