@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import positional, quality, simhash, spotsigs, token_files, toxicity
+from skyfold.llm import positional, quality, simhash, spotsigs, token_files, toxicity, warc
 from skyfold.llm.common import Query, table
 from skyfold.session import new_path
 
@@ -20,6 +20,27 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "archives")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, manifest, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -74,6 +95,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, Query] = {
     "op1_spotsigs": (op1_spotsigs, None),
     "op3_toxicity": (op3_toxicity, None),
+    "op4_warc": (op4_warc, OP4_SQL),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op8_quality": (op8_quality, None),
     "op9_simhash": (op9_simhash, None),
