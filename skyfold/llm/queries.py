@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import positional, quality, simhash, spotsigs, token_files, toxicity, warc
+from skyfold.llm import chat, licences, mixing, positional, quality, simhash, spotsigs, token_files, toxicity, warc
 from skyfold.llm.common import Query, table
 from skyfold.session import new_path
 
@@ -16,6 +16,10 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.following_pairs(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,6 +45,46 @@ FROM f
 """
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+
+
+def _values(rows: list[tuple]) -> str:
+    quoted = [", ".join("'" + str(x).replace("'", "''") + "'" if isinstance(x, str) else str(x) for x in row) for row in rows]
+    return "VALUES\n    (" + "),\n    (".join(quoted) + ")"
+
+
+OP5_SQL = rf"""
+WITH wordings(no, id, wording) AS ({_values([(k, name, wording) for k, (name, wording) in enumerate(licences.SENTENCES.items())])}
+), rules(no, licence, ids) AS ({_values([(k, licence, " ".join(ids)) for k, (licence, ids) in enumerate(licences.RULES)])}
+), heads AS (
+    SELECT no, id, trim(regexp_replace(lower(regexp_split_to_array(regexp_replace(wording, '[ \t]*\n[ \t]*([a-z])', ' \1', 'g'),
+                                       '[.!?;:][ \t\r\n]+|\n')[1]), '[^a-z0-9]+', ' ', 'g')) AS norm
+    FROM wordings
+), known AS (
+    SELECT norm, arg_min(id, no) AS id FROM heads GROUP BY norm
+), cut AS (
+    SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '[ \t]*\n[ \t]*([a-z])', ' \1', 'g'), '[.!?;:][ \t\r\n]+|\n') AS parts
+    FROM documents
+), sentences AS (
+    SELECT doc_id, i, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS norm
+    FROM (SELECT doc_id, unnest(parts) AS s, generate_subscripts(parts, 1) AS i FROM cut)
+), lines AS (
+    SELECT doc_id, count(*) AS n_sentences, string_agg(id, ' ' ORDER BY i) AS ids FROM sentences JOIN known USING (norm) GROUP BY doc_id
+), matched AS (
+    SELECT doc_id, licence, min(no) AS no FROM lines JOIN rules ON contains(' ' || lines.ids || ' ', ' ' || rules.ids || ' ') GROUP BY doc_id, licence
+), counted AS (
+    SELECT * FROM matched m
+    WHERE licence <> 'BSD-2-Clause' OR NOT EXISTS (SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.licence = 'BSD-3-Clause')
+), listed AS (
+    SELECT doc_id, string_agg(licence, ',' ORDER BY no) AS licences FROM counted GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(licences, '') AS licences
+FROM documents LEFT JOIN lines USING (doc_id) LEFT JOIN listed USING (doc_id)
+""".replace("\\\\", "\\")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -77,6 +121,27 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse(table(spark, sf_dir, "conversations"))
+
+
+OP7_SQL = """
+WITH t AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), p AS (
+    SELECT *, row_number() OVER w AS pos, string_agg(role || chr(30) || text || chr(31), '') OVER w AS prefix,
+           string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '') OVER w AS rendered
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+), n AS (
+    SELECT conv_id, max(pos) AS n FROM p GROUP BY conv_id
+), whole AS (
+    SELECT prefix, rendered, n, min(conv_id) AS conv_id, count(*) AS copies FROM p JOIN n USING (conv_id) WHERE pos = n GROUP BY prefix, rendered, n
+)
+SELECT conv_id, n AS n_turns, copies, rendered FROM whole
+WHERE prefix NOT IN (SELECT prefix FROM p JOIN n USING (conv_id) WHERE pos < n)
+"""
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -94,9 +159,12 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Query] = {
     "op1_spotsigs": (op1_spotsigs, None),
+    "op2_mixing": (op2_mixing, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_warc": (op4_warc, OP4_SQL),
+    "op5_licences": (op5_licences, OP5_SQL),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
+    "op7_chat": (op7_chat, OP7_SQL),
     "op8_quality": (op8_quality, None),
     "op9_simhash": (op9_simhash, None),
     "op10_token_ids": (op10_token_ids, None),
