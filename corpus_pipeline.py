@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyfold.llm import simhash
+from skyfold.llm import mixing, positional, quality, simhash, token_files
 from skyfold.llm.common import table
-from skyfold.session import materialize
+from skyfold.session import materialize, new_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +22,28 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return positional.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample of the documents with the target shares of sources, languages and topics."""
+    return mixing.sampled_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents, read back: one row per document."""
+    folder = new_path(spark, "token-ids")
+    return token_files.read_ids(spark, folder, token_files.write_ids(docs, folder, TOKENIZER))
+
+
 STAGES = [
+    ("quality classifier", filter_quality),
     ("simhash near-dedup", deduplicate),
+    ("benchmark decontamination", decontaminate),
+    ("mixing to target weights", mix),
+    ("token ids", encode),
 ]
 
 #: The classifier and the tokenizer are not expressible in SQL.
