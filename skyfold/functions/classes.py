@@ -19,22 +19,6 @@ SPREAD_CUTS = {
     "wavg_dr3": ((3.0, 0.005), (1.0, 0.003), (-0.5, 0.001)),
 }
 
-# Boundary curves in (spread error, spread) for the class plots.
-SPREAD_CURVES = {
-    "wavg": (
-        (-1.0, -0.01, 0.01, 1.0),
-        ((3.0 + 0.005, 0.03 + 0.005, -0.03 + 0.005, -3.0 + 0.005),
-         (1.0 + 0.003, 0.01 + 0.003, -0.01 + 0.003, -1.0 + 0.003),
-         (-0.5 + 0.001, -0.005 + 0.001, 0.005 + 0.001, 0.5 + 0.001)),
-    ),
-    "coadd": (
-        (-1.0, -0.01, 0.0, 0.01, 1.0),
-        ((3.0 + 0.005, 0.03 + 0.005, 0.005, -0.03 + 0.005, -3.0 + 0.005),
-         (1.0 + 0.003, 0.01 + 0.003, 0.003, -0.01 + 0.003, -1.0 + 0.003),
-         (-1.0 + 0.002, -0.01 + 0.002, 0.002, 0.01 + 0.002, 1.0 + 0.002)),
-    ),
-}
-
 # Size thresholds as curves of log10 signal-to-noise.
 SIZE_KNOTS_INNER = (0.79891862, 0.90845217, 0.98558583, 1.05791208, 1.13603715, 1.22479487, 1.33572223, 1.48983602, 1.74124395, 2.43187589)
 SIZE_STAR = (0.028, 0.028, 0.008, 0.0, 0.004, 0.012, 0.012, 0.004, 0.012, 0.024, 0.04, 0.04)
@@ -70,8 +54,8 @@ def spread_class(spread: Column, error: Column, variant: str = "default") -> Col
 
 
 def spread_boundaries(error: Column, variant: str = "wavg") -> list[Column]:
-    knots, curves = SPREAD_CURVES[variant]
-    return [piecewise_linear(error, knots, levels, outside="raise") for levels in curves]
+    """Spread at the cuts of a variant, each a straight line in the error; errors beyond 1 raise."""
+    return [piecewise_linear(error, (-1.0, 1.0), (cut + k, cut - k), outside="raise") for k, cut in SPREAD_CUTS[variant]]
 
 
 def _near(value: Column, target: float) -> Column:

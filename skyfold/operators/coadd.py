@@ -98,12 +98,19 @@ def coadd_healpix(df: DataFrame, nsides: Sequence[int] = (HPX_NSIDE,), lon: str
 
 
 def best_rows(df: DataFrame, keys: Sequence[str], score: Column, columns: Sequence[str], id_col: str, largest: bool = True) -> DataFrame:
-    """Columns of the row with the largest (or smallest) score per group; ties go to the smallest id."""
-    direction = -score if largest else score
-    row = F.struct(direction.alias("_score"), F.col(id_col).alias("_id"), *[F.col(c) for c in columns])
+    """Columns of the row with the largest (or smallest) score per group; ties go to the smallest id.
+
+    Rows with a missing score come last.
+    """
+    row = F.struct(_place(-score if largest else score).alias("_score"), F.col(id_col).alias("_id"), *[F.col(c) for c in columns])
     return df.groupBy(*keys).agg(F.min(row).alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
 
 
+def _place(score: Column) -> Column:
+    """A score to take the smallest of, with NULL and NaN behind all others."""
+    return F.coalesce(F.nanvl(score.cast("double"), F.lit(None).cast("double")), F.lit(float("inf")))
+
+
 def epoch_score() -> Column:
     return F.col("T_EFF").cast("double") * F.col("EXPTIME").cast("double")
 
@@ -111,7 +118,7 @@ def epoch_score() -> Column:
 def coadd_bands(df: DataFrame, id_col: str, objid: str = OBJECT_ID) -> DataFrame:
     """One row per (object, band): epochs, best-epoch columns, weighted statistics, flag union, best id."""
     carried = [c for c in BEST_COLUMNS if c in df.columns]
-    best = F.struct((-epoch_score()).alias("_score"), F.col(id_col).alias("_best_id"), *[F.col(c) for c in carried])
+    best = F.struct(_place(-epoch_score()).alias("_score"), F.col(id_col).alias("_best_id"), *[F.col(c) for c in carried])
     stats = df.groupBy(objid, "BAND").agg(
         F.count(F.lit(1)).alias("NEPOCHS"),
         F.min(best).alias("_best"),

@@ -24,14 +24,17 @@ MAS = 3600.0 * 1000.0
 def interpolate_map(
     df: DataFrame, sky_map: DataFrame, nside: int, id_col: str, ra: str = "RA", dec: str = "DEC", value: str = "value", name: str = "value", galactic: bool = True
 ) -> DataFrame:
-    """Bilinear interpolation of a map at each position.
+    """Bilinear interpolation of a map at each position; NULL where a pixel that counts has no value.
 
     Only (id, pixel, weight) rows travel; the map side has one row per pixel.
     """
     lon, lat = equatorial_to_galactic(F.col(ra), F.col(dec)) if galactic else (F.col(ra), F.col(dec))
     taps = with_interpolation(df.select(F.col(id_col).alias("_id"), lon.alias("_lon"), lat.alias("_lat")), nside, "_lon", "_lat", "_taps")
-    taps = taps.select("_id", F.explode("_taps").alias("_t")).select("_id", F.col("_t.pix").alias("pix"), F.col("_t.weight").alias("_w"))
-    summed = taps.join(sky_map.select("pix", F.col(value).alias("_v")), "pix").groupBy("_id").agg(F.sum(F.col("_w") * F.col("_v")).alias(name))
+    taps = taps.withColumn("_taps", F.filter("_taps", lambda t: t.weight > 0))
+    taps = taps.select("_id", F.size("_taps").alias("_need"), F.explode("_taps").alias("_t")).select("_id", "_need", F.col("_t.pix").alias("pix"), F.col("_t.weight").alias("_w"))
+    met = taps.join(sky_map.select("pix", F.col(value).alias("_v")), "pix").where(F.col("_v").isNotNull())
+    total = F.when(F.count("_v") == F.max("_need"), F.sum(F.col("_w") * F.col("_v")))
+    summed = met.groupBy("_id").agg(total.alias(name))
     return df.drop(name).join(summed, F.col(id_col) == F.col("_id"), "left").drop("_id")
 
 
@@ -62,7 +65,7 @@ def unpivot_bands(df: DataFrame, fields: Sequence[str], keep: Sequence[str], ban
     return df.select(*keep, F.explode(rows).alias("_r")).select(*keep, "_r.*")
 
 
-def bright_ends(df: DataFrame, keys: Sequence[str], mag: str, start: float = 17.0, stop: float = 30.0, width: float = 0.1) -> DataFrame:
+def bright_ends(df: DataFrame, keys: Sequence[str], mag: str, start: float = 17.0, stop: float = 29.9, width: float = 0.1) -> DataFrame:
     """Left edge of the fullest magnitude bin (first on ties), less 3 mag."""
     modes = histogram_mode(df, keys, mag, start, stop, width)
     return modes.select(*keys, (F.col("mode") - 3.0).alias("bright_end"))

@@ -40,7 +40,9 @@ def _hot_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, na
     first, last = F.col("_below") + F.col("_upto") - F.col("_c"), F.col("_below") + F.col("_upto") - 1
     at = lambda rank: F.max(F.when((first <= rank) & (rank <= last), F.col("_v")))
     lower, upper, weight = at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
-    return ranked.groupBy(*keys).agg((lower + (upper - lower) * weight).alias(name))
+    found = ranked.groupBy(*keys).agg((lower + (upper - lower) * weight).alias(name))
+    missed = F.raise_error(F.lit("the wanted rank lies outside its bracket")).cast("double")
+    return found.withColumn(name, F.when(F.col(name).isNull(), missed).otherwise(F.col(name)))
 
 
 def exact_percentiles(

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from skyfold.functions.guards import above, below, finite, real
 from skyfold.operators.quantiles import exact_median, exact_percentiles
-from skyfold.session import materialize
+from skyfold.session import discard, materialize
 
 GRID = 1000
+#: Bandwidths beyond which a Gaussian is exactly zero in double precision.
+KERNEL_REACH = 39.0
+EVERYTHING = "_everything"
 
 
 def bin_index(value: Column, low: float, width: float, bins: int, closed: bool = True) -> Column:
@@ -56,8 +59,9 @@ def histogram_mode(df: DataFrame, keys: Sequence[str], value: str, low: float, h
 def density_mode(df: DataFrame, keys: Sequence[str], value: str, grid: int = GRID, low: float = 0.0, high: float = 1.0) -> DataFrame:
     """Mode of a Gaussian kernel density on an even grid, bandwidth n^(-1/5) times the sample deviation.
 
-    Each distinct value adds to every grid point; the sums are formed map-side, so a group sends at most
-    ``grid`` rows per task however many values it has. Groups of one, or without spread, have no mode.
+    Each distinct value adds to the grid points within reach of its kernel; the sums are formed map-side, so a group
+    sends at most ``grid`` rows per task however many values it has. Groups of one, without spread, or whose values
+    all lie out of reach of the grid, have no mode.
     """
     keys = list(keys)
     width = df.groupBy(*keys).agg((F.pow(F.count(value), F.lit(-0.2)) * F.stddev_samp(value)).alias("_h"))
@@ -65,7 +69,12 @@ def density_mode(df: DataFrame, keys: Sequence[str], value: str, grid: int = GRI
     step = (high - low) / (grid - 1)
     # Copies of a value count once with their number.
     weighted = usable.groupBy(*keys, F.col(value).alias("_v"), "_h").agg(F.count(F.lit(1)).alias("_c"))
-    spread = weighted.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_g"))
+    place = lambda x: (x - low) / step
+    on_grid = lambda x: F.least(F.greatest(x, F.lit(-1.0)), F.lit(float(grid)))
+    first = F.greatest(F.ceil(on_grid(place(F.col("_v") - KERNEL_REACH * F.col("_h")))), F.lit(0)).cast("int")
+    last = F.least(F.floor(on_grid(place(F.col("_v") + KERNEL_REACH * F.col("_h")))), F.lit(grid - 1)).cast("int")
+    reaching = weighted.withColumns({"_first": first, "_last": last}).where("_first <= _last")
+    spread = reaching.select(*keys, "_v", "_h", "_c", F.explode(F.sequence("_first", "_last")).alias("_g"))
     d = (F.lit(low) + F.col("_g") * step - F.col("_v")) / F.col("_h")
     sums = spread.groupBy(*keys, "_g").agg(F.sum(F.col("_c") * F.exp(-0.5 * d * d)).alias("_s"))
     best = sums.groupBy(*keys).agg(F.max(F.struct("_s", (-F.col("_g")).alias("b"))).alias("_b"))
@@ -90,6 +99,8 @@ def histogram_peak(df: DataFrame, keys: Sequence[str], value: str, low: float, h
 def quartile_clipped(df: DataFrame, keys: Sequence[str], value: str, sigmas: float = 3.0) -> DataFrame:
     """Median of all rows; mean, deviation and RMS of rows within ``sigmas * 0.74 * IQR`` of it."""
     keys = list(keys)
+    if not keys:
+        return quartile_clipped(df.withColumn(EVERYTHING, F.lit(0)), [EVERYTHING], value, sigmas).drop(EVERYTHING)
     quart = exact_percentiles(df, keys, {"_q1": (value, 0.25), "median": (value, 0.5), "_q3": (value, 0.75)})
     quart = quart.select(*keys, "median", (F.lit(sigmas * 0.74) * (F.col("_q3") - F.col("_q1"))).alias("clip"))
     v = F.col(value)
@@ -98,22 +109,24 @@ def quartile_clipped(df: DataFrame, keys: Sequence[str], value: str, sigmas: flo
     return quart.join(stats, keys, "left")
 
 
-def sigma_clipped(df: DataFrame, keys: Sequence[str], value: str, sigmas: float = 5.0, most: int = 100) -> DataFrame:
+def sigma_clipped(df: DataFrame, keys: Sequence[str], value: str, sigmas: float = 5.0) -> DataFrame:
     """Clip around the mean until no row goes, then median, mean and population deviation.
 
-    Each pass is one aggregation joined back; groups that have settled lose nothing more.
+    Each pass is one aggregation joined back; groups that have settled lose nothing more. Every pass but the last
+    removes rows, so the loop ends by itself.
     """
     keys = list(keys)
+    if not keys:
+        return sigma_clipped(df.withColumn(EVERYTHING, F.lit(0)), [EVERYTHING], value, sigmas).drop(EVERYTHING)
     current = materialize(df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col(value).isNotNull() & ~F.isnan(value)), "clip")
-    n = current.count()
-    for _ in range(most):
+    n, left = current.count(), -1
+    while n != left:
         stats = current.groupBy(*keys).agg(F.avg("_v").alias("_m"), F.stddev_pop("_v").alias("_s"))
         near = F.col("_v").between(F.col("_m") - sigmas * F.col("_s"), F.col("_m") + sigmas * F.col("_s"))
         kept = materialize(current.join(stats, keys).where(near).drop("_m", "_s"), "clip")
         left, n = n, kept.count()
+        discard(current)
         current = kept
-        if left == n:
-            break
     extra = [F.avg("_v").alias("mean"), F.stddev_pop("_v").alias("sigma"), F.count("_v").alias("n")]
     return exact_median(current, keys, "_v", "median", extra=extra)
 

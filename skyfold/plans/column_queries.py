@@ -293,9 +293,9 @@ def class_boundaries(spark, sf):
 
 
 BOUNDARY_SQL = oracle(
-    f"SELECT {ROW_SQL}, " + ", ".join(
-        f"round({_curve_sql('SPREADERR_MODEL', classes.SPREAD_CURVES[v][0], c)}, 6) AS {v}_{k}" for v in ("wavg", "coadd") for k, c in enumerate(classes.SPREAD_CURVES[v][1], 1)
-    ) + " FROM detections_v", "detections_v",
+    f"SELECT {ROW_SQL}, round(5e-3 - 3*SPREADERR_MODEL, 6) AS wavg_1, round(3e-3 - SPREADERR_MODEL, 6) AS wavg_2, round(1e-3 + 5e-1*SPREADERR_MODEL, 6) AS wavg_3, "
+    "round(5e-3 - 3*SPREADERR_MODEL, 6) AS coadd_1, round(3e-3 - SPREADERR_MODEL, 6) AS coadd_2, round(2e-3 + SPREADERR_MODEL, 6) AS coadd_3 FROM detections_v",
+    "detections_v",
 )
 
 

@@ -95,15 +95,15 @@ def _shards(spark, sf):
 
 
 def depth_map(spark, sf):
-    return rounded(maps.depth_map(_shards(spark, sf), OBJECT_ID, nside=4, kind="PSF", bands=["g", "r", "i", "z"]))
+    return rounded(maps.depth_map(_shards(spark, sf), OBJECT_ID, nside=4, kind="PSF"))
 
 
 def depth_map_auto(spark, sf):
-    return rounded(maps.depth_map(_shards(spark, sf), OBJECT_ID, nside=4, snr=5.0, kind="AUTO", bands=["g", "r"]))
+    return rounded(maps.depth_map(_shards(spark, sf), OBJECT_ID, nside=4, snr=5.0, kind="AUTO"))
 
 
 def sparse_depth(spark, sf):
-    return rounded(maps.sparse_depth_map(_shards(spark, sf), OBJECT_ID, nside=4, bands=["g", "r"]))
+    return rounded(maps.sparse_depth_map(_shards(spark, sf), OBJECT_ID, nside=4))
 
 
 def _dust(spark, sf):

@@ -28,7 +28,7 @@ DETECTION_COLUMNS = {
     "EXPTIME": "9e1",
     "FLAGS": "l_linenumber - 1",
     "IMAFLAGS_ISO": "cast(case when l_partkey % 3 = 0 then 2048 when l_partkey % 3 = 1 then 0 else l_partkey % 4096 end as int)",
-    "SPREAD_MODEL": "(l_suppkey % 21 - 10)/1e3",
+    "SPREAD_MODEL": "(l_suppkey % 21 - 10)/1e3 + 37e-5",
     "SPREADERR_MODEL": "1e-3 + l_discount/1e2",
     "CLASS_STAR": "(l_suppkey % 11)/1e1",
     "A_IMAGE": "1e0 + l_tax",

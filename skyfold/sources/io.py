@@ -106,23 +106,31 @@ def skim_exposures(
     return project_output(rows, exposures, schema)
 
 
-def read_tolerant(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Reads what can be read: corrupt or vanished files are skipped."""
+def read_tolerant(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType, fmt: str = "parquet", tolerate: bool = True) -> tuple[DataFrame, DataFrame]:
+    """What can be read of the files, and ``(path)`` of the files that gave no rows: corrupt, vanished or empty ones.
+
+    With ``tolerate=False`` a bad file fails the read instead.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    return reader.format(fmt).load(paths)
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", tolerate).option("ignoreMissingFiles", tolerate)
+    rows = reader.format(fmt).load(paths)
+    listed = spark.createDataFrame([(f,) for f in rows.inputFiles()], "path string")
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    given = rows.select(bare(F.col("_metadata.file_path")).alias("path")).distinct()
+    return rows, listed.select(bare(F.col("path")).alias("path")).join(given, "path", "left_anti")
 
 
 def write_shards(df: DataFrame, path: str, nside: int, nest: bool = False, force: bool = False, append: bool = False, rows_per_file: int = 5_000_000, by_band: bool = True) -> None:
     """One folder per band and pixel, sorted by position inside.
 
-    Rows are spread over a hash of (band, pixel, bucket of declination), not of the pixel alone, so a crowded pixel
-    is written by several tasks as several files.
+    A pixel with more than ``rows_per_file`` rows is dealt over as many tasks as it needs files, by declination.
     """
     sharded = with_pixel(df, nside, nest=nest, name="HPX").withColumns({"NSIDE": F.lit(nside), "ORDERING": F.lit("NEST" if nest else "RING")})
     keys = ["BAND", "HPX"] if by_band and "BAND" in df.columns else ["HPX"]
-    bucket = F.pmod(F.floor(F.col("DEC") * 3600.0 / 60.0), F.lit(16))
-    layout = sharded.repartition(*keys, bucket).sortWithinPartitions(*keys, "DEC", "RA")
+    sizes = sharded.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    bucket = F.pmod(F.floor(F.col("DEC") * 3600.0 / 60.0), F.col("_files"))
+    sized = sharded.join(sizes, keys).withColumn("_bucket", bucket)
+    layout = sized.repartition(*keys, "_bucket").sortWithinPartitions(*keys, "_bucket", "DEC", "RA").drop("_files", "_bucket")
     mode = "append" if append else ("overwrite" if force else "errorifexists")
     layout.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).mode(mode).parquet(path)
 

@@ -123,3 +123,13 @@ def test_warehouse(spark):
     io.load_warehouse([positions(spark, 5), positions(spark, 7)], name, force=True)
     assert spark.table(name).count() == 12
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_tolerant_read_lists_what_it_missed(spark, tmp_path):
+    good, bad = tmp_path / "good", tmp_path / "bad.parquet"
+    spark.range(5).coalesce(1).write.parquet(str(good))
+    bad.write_bytes(b"no parquet at all")
+    rows, missed = io.read_tolerant(spark, [str(good), str(bad)], T.StructType([T.StructField("id", T.LongType())]))
+    assert rows.count() == 5 and [r.path.endswith("bad.parquet") for r in missed.collect()] == [True]
+    with pytest.raises(Exception):
+        io.read_tolerant(spark, [str(bad)], T.StructType([T.StructField("id", T.LongType())]), tolerate=False)[0].count()

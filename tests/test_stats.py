@@ -99,3 +99,34 @@ def test_masks(spark):
     raster = placed.select("tile", "xpix", "ypix", F.when(F.col("tile") == "a", 1).otherwise(4).alias("value"))
     got = {r.id: r["mask"] for r in mask_values(df, raster, placed, "id").collect()}
     assert got == {1: 5, 2: 1, 3: 8192}
+
+
+def test_sigma_clipping_goes_on_until_nothing_goes(spark):
+    values = [1.2 + i / 1000 for i in range(4)] + [10.0 * 1.9**i for i in range(40)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    kept = np.array(values)
+    while True:
+        near = kept[np.abs(kept - kept.mean()) <= 1.5 * kept.std()]
+        if len(near) == len(kept):
+            break
+        kept = near
+    got = stats.sigma_clipped(df, [], "v", sigmas=1.5).first()
+    assert got.n == len(kept) < 10 and got.median == pytest.approx(np.median(kept))
+
+
+def test_quartile_clipping_without_keys(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 1000]], "v double")
+    got = stats.quartile_clipped(df, [], "v").first()
+    assert got.median == 3.5 and got.n_kept == 5
+
+
+def test_density_mode_of_far_values(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(0.4, 0.05, 200), [900.0, -900.0]])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    h = len(values) ** -0.2 * values.std(ddof=1)
+    grid = np.linspace(0, 1, 1000)
+    dense = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(1)
+    assert stats.density_mode(df, [], "v").first()["mode"] == pytest.approx(grid[dense.argmax()])
+    far = spark.createDataFrame([(1, 5e9), (1, 5e9 + 1)], "k int, v double")
+    assert stats.density_mode(far, ["k"], "v").count() == 0 and stats.density_mode(far, [], "v").first()["mode"] is None
