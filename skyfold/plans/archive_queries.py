@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyfold.plans import views
+from skyfold.plans.map_queries import nested_sql
 from skyfold.plans.shared import objects, rounded
 from skyfold.plans.views import oracle
 from skyfold.sources import archive
@@ -238,11 +239,33 @@ def cone_pixel(spark, sf):
     return rounded(archive.stars_near(df, 40.0, -34.4, "hpx", nside=2), digits=5)
 
 
+PIXEL_SQL = oracle(
+    f"""
+    SELECT TRUE_ID AS CATALOG_ID, round(RA, 5) AS RA, round(DEC, 5) AS DEC, nest AS HPX2048, round(WAVG_MAG_PSF_G, 5) AS WAVG_MAG_PSF_G, round(WAVG_MAG_PSF_R, 5) AS WAVG_MAG_PSF_R,
+        round(WAVG_SPREAD_MODEL_R, 5) AS WAVG_SPREAD_MODEL_R
+    FROM ({nested_sql(2048, "objects_v")})
+    WHERE nest >> 20 = (SELECT nest FROM ({nested_sql(2, "(SELECT 40e0 AS RA, -344e-1 AS DEC)")}))
+        AND WAVG_MAG_PSF_G BETWEEN 10 AND 30 AND WAVG_MAG_PSF_R BETWEEN 10 AND 30 AND abs(WAVG_SPREAD_MODEL_R) < 2e-3
+    """, "objects_v",
+)
+
+
 def sampled_box(spark, sf):
     df = objects(spark, sf).withColumnRenamed("TRUE_ID", "CATALOG_ID")
     return rounded(archive.sampled_box(df.withColumn("SPREAD_MODEL_R", F.col("SPREAD_MODEL_R") / 2), delta=20.0, fraction=0.5), digits=5)
 
 
+SAMPLED_SQL = oracle(
+    """
+    SELECT TRUE_ID AS CATALOG_ID, round(RA, 5) AS RA, round(DEC, 5) AS DEC, round(MAG_PSF_G, 5) AS MAG_PSF_G, round(MAG_PSF_R, 5) AS MAG_PSF_R,
+        round(SPREAD_MODEL_R/2, 5) AS SPREAD_MODEL_R
+    FROM objects_v
+    WHERE ((TRUE_ID % 1000003 + 1)*48271) % 1000003 < 500001 AND RA BETWEEN 20 AND 60 AND DEC BETWEEN -544e-1 AND -144e-1
+        AND MAG_PSF_G BETWEEN 15 AND 30 AND MAG_PSF_R BETWEEN 15 AND 30 AND abs(SPREAD_MODEL_R/2) < 1e-2
+    """, "objects_v",
+)
+
+
 def edge_extract(spark, sf):
     t = tables(spark, sf)
     a = archive.edge_extract(t, "D%_g_c%_r1p01_%").select("RA", "DEC", "X_IMAGE", "Y_IMAGE")
@@ -279,7 +302,7 @@ QUERIES = {
     "zeropoint_solutions": (zeropoint_solutions, SOLUTIONS_SQL),
     "blacklisted_ccds": (blacklisted, oracle("SELECT expnum AS EXPNUM, ccdnum AS CCDNUM FROM blacklist_v", "blacklist_v")),
     "cone_box": (cone_box, BOX_SQL),
-    "cone_pixel": (cone_pixel, None),
-    "sampled_box": (sampled_box, None),
+    "cone_pixel": (cone_pixel, PIXEL_SQL),
+    "sampled_box": (sampled_box, SAMPLED_SQL),
     "edge_extract": (edge_extract, EDGE_SQL),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skyfold.operators import calibration, survey, zeropoints
 from skyfold.plans import views
 from skyfold.plans.column_queries import NORTH, ROW_SQL, SOUTH, _interp_sql, _linear_sql, _rows, _sep_sql
+from skyfold.plans.map_queries import _CENTERS
 from skyfold.plans.shared import as_long, calibrated, rounded
 from skyfold.plans.views import oracle
 
@@ -225,6 +226,16 @@ def max_depth(spark, sf):
     return rounded(survey.max_depth_map(views.exposures(spark, sf), nside=32, radius_deg=3.0).groupBy("band").agg(F.count(F.lit(1)).alias("n_pix"), F.max("max_depth").alias("deepest"), F.avg("max_depth").alias("mean")))
 
 
+MAX_DEPTH_SQL = oracle(
+    f"""
+    SELECT band, count(*) AS n_pix, round(max(d), 6) AS deepest, round(avg(d), 6) AS mean FROM (
+        SELECT band, pix, max(t_eff*exptime) AS d FROM exposures_v e JOIN ({_CENTERS}) c
+            ON c.lat BETWEEN e.teldec - 3001e-3 AND e.teldec + 3001e-3 AND {_sep_sql('e.telra', 'e.teldec', 'c.lon', 'c.lat')} <= 3
+        GROUP BY band, pix
+    ) GROUP BY band
+    """, "exposures_v",
+)
+
 QUERIES = {
     "calibrated_mags": (calibrated_mags, oracle(f"SELECT {ROW_SQL}, " + ", ".join(f"round({c}, 6) AS {c}" for c in CAL) + ", CAST(ZP_FLAG AS BIGINT) AS ZP_FLAG FROM calibrated_v", "calibrated_v")),
     "zp_load": (zp_load, oracle("SELECT EXPNUM, CCDNUM, round(MAG_ZERO, 6) AS MAG_ZERO FROM zeropoints_v WHERE ZP_FLAG = 0", "zeropoints_v")),
@@ -245,5 +256,5 @@ QUERIES = {
     "exposure_mags": (exposure_mags, EXPOSURE_MAGS_SQL),
     "topk_exposures": (topk_exposures, oracle("SELECT EXPNUM, count(*) AS n FROM detections_v GROUP BY EXPNUM ORDER BY n DESC, EXPNUM LIMIT 5", "detections_v")),
     "homogenize": (homogenize, None),
-    "max_depth": (max_depth, None),
+    "max_depth": (max_depth, MAX_DEPTH_SQL),
 }

@@ -46,7 +46,11 @@ def coords_roundtrip(spark, sf):
 
 
 _VEC = "cos(radians(RA))*cos(radians(DEC))", "sin(radians(RA))*cos(radians(DEC))", "sin(radians(DEC))"
-_GAL = [" + ".join(f"({c})*({v})" for c, v in zip(row, _VEC)) for row in coords.GALACTIC_ROTATION]
+GALACTIC_SQL = [
+    f"(-548755604e-10*{_VEC[0]} - 8734370902e-10*{_VEC[1]} - 4838350155e-10*{_VEC[2]})",
+    f"(4941094279e-10*{_VEC[0]} - 4448296300e-10*{_VEC[1]} + 7469822445e-10*{_VEC[2]})",
+    f"(-8676661490e-10*{_VEC[0]} - 1980763734e-10*{_VEC[1]} + 4559837762e-10*{_VEC[2]})",
+]
 
 
 def _lon(y, x):
@@ -61,7 +65,7 @@ def _sep_sql(ra1, dec1, ra2, dec2):
 
 COORDS_SQL = oracle(
     f"SELECT {ROW_SQL}, round({_lon(_VEC[1], _VEC[0])}, 7) AS lon, round(degrees(atan2({_VEC[2]}, sqrt(pow({_VEC[0]}, 2) + pow({_VEC[1]}, 2)))), 7) AS lat, "
-    f"round({_lon(_GAL[1], _GAL[0])}, 7) AS glon, round(degrees(atan2({_GAL[2]}, sqrt(pow({_GAL[0]}, 2) + pow({_GAL[1]}, 2)))), 7) AS glat, "
+    f"round({_lon(GALACTIC_SQL[1], GALACTIC_SQL[0])}, 7) AS glon, round(degrees(atan2({GALACTIC_SQL[2]}, sqrt(pow({GALACTIC_SQL[0]}, 2) + pow({GALACTIC_SQL[1]}, 2)))), 7) AS glat, "
     f"round(3600*{_sep_sql('RA', 'DEC', views.BASE_RA.format(k='TRUE_ID'), views.BASE_DEC.format(k='TRUE_ID'))}, 7) AS sep_arcsec FROM detections_v",
     "detections_v",
 )

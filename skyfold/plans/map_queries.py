@@ -11,7 +11,7 @@ from skyfold.operators.coadd import add_extended_class, add_extinction, coadd_he
 from skyfold.operators.stats import sigma_clipped
 from skyfold.operators.zeropoints import zeropoint_pairs
 from skyfold.plans import views
-from skyfold.plans.column_queries import LOCUS_INPUT_SQL, _CUT, _cls, _sep_sql
+from skyfold.plans.column_queries import GALACTIC_SQL, LOCUS_INPUT_SQL, _CUT, _cls, _sep_sql
 from skyfold.plans.shared import good, objects, rounded
 from skyfold.plans.views import oracle
 from skyfold.schema import OBJECT_ID
@@ -31,6 +31,26 @@ def ring_sql(nside: int, ra: str = "RA", dec: str = "DEC") -> str:
     return f"CAST(CASE WHEN abs({z}) <= 2e0/3 THEN {belt} WHEN {z} > 0 THEN 2*{ic}*({ic} - 1) + {ip} ELSE {npix(n)} - 2*{ic}*({ic} + 1) + {ip} END AS BIGINT)"
 
 
+def nested_sql(nside: int, source: str, ra: str = "RA", dec: str = "DEC") -> str:
+    """Rows of ``source`` with the nested pixel ``nest`` of a position, and ``face``, ``ix`` and ``iy`` it is made of."""
+    n, order = nside, nside.bit_length() - 1
+    spread = lambda v: " + ".join(f"((CAST({v} AS BIGINT) & {1 << k}) << {k})" for k in range(order))
+    return f"""
+        SELECT * EXCLUDE (z_, t_, belt_, p_, m_), face*{n * n} + {spread("ix")} + 2*({spread("iy")}) AS nest FROM (
+            SELECT *,
+                CAST(CASE WHEN belt_ AND p_ // {n} = m_ // {n} THEN 4 + (p_ // {n}) % 4 WHEN belt_ AND p_ // {n} < m_ // {n} THEN p_ // {n}
+                     WHEN belt_ THEN 8 + m_ // {n} WHEN z_ >= 0 THEN least(floor(t_), 3) ELSE 8 + least(floor(t_), 3) END AS BIGINT) AS face,
+                CAST(CASE WHEN belt_ THEN m_ % {n} WHEN z_ >= 0 THEN {n - 1} - least(m_, {n - 1}) ELSE least(p_, {n - 1}) END AS BIGINT) AS ix,
+                CAST(CASE WHEN belt_ THEN {n - 1} - p_ % {n} WHEN z_ >= 0 THEN {n - 1} - least(p_, {n - 1}) ELSE least(m_, {n - 1}) END AS BIGINT) AS iy
+            FROM (
+                SELECT *, abs(z_) <= 2e0/3 AS belt_,
+                    CAST(floor(CASE WHEN abs(z_) <= 2e0/3 THEN {n}*(5e-1 + t_ - 75e-2*z_) ELSE (t_ - floor(t_))*{n}*sqrt(3*(1 - abs(z_))) END) AS BIGINT) AS p_,
+                    CAST(floor(CASE WHEN abs(z_) <= 2e0/3 THEN {n}*(5e-1 + t_ + 75e-2*z_) ELSE (1 - t_ + floor(t_))*{n}*sqrt(3*(1 - abs(z_))) END) AS BIGINT) AS m_
+                FROM (SELECT *, sin(radians({dec})) AS z_, (({ra}) % 360)/90e0 AS t_ FROM {source})
+            )
+        )"""
+
+
 def healpix_index(spark, sf):
     """Ring pixels at three resolutions, and counts of objects in each."""
     out = None
@@ -53,6 +73,19 @@ def healpix_nested(spark, sf):
     return rounded(df.select("OBJID", "HPX2048", "parent", "direct", "lon", "lat"))
 
 
+NESTED_SQL = oracle(
+    f"""
+    SELECT OBJID, nest AS HPX2048, nest >> 10 AS parent, direct,
+        round((((CASE WHEN face BETWEEN 4 AND 7 THEN 2*(face - 4) ELSE 2*(face % 4) + 1 END)*nr + ix - iy + 1 + shift)/2e0 - (shift + 1)/2e0 + 4*nr) % (4*nr)*90/nr, 6) AS lon,
+        round(degrees(asin(CASE WHEN jr < 2048 THEN 1 - nr*nr/3e0/2048/2048 WHEN jr > 3*2048 THEN nr*nr/3e0/2048/2048 - 1 ELSE (2*2048 - jr)*2e0/3/2048 END)), 6) AS lat
+    FROM (
+        SELECT *, CASE WHEN jr < 2048 THEN jr WHEN jr > 3*2048 THEN 4*2048 - jr ELSE 2048 END AS nr, CASE WHEN jr BETWEEN 2048 AND 3*2048 THEN (jr - 2048) % 2 ELSE 0 END AS shift
+        FROM (SELECT *, (2 + face // 4)*2048 - ix - iy - 1 AS jr FROM ({nested_sql(2048, "reference_v")}))
+    ) JOIN (SELECT OBJID, nest AS direct FROM ({nested_sql(64, "reference_v")})) USING (OBJID)
+    """, "reference_v",
+)
+
+
 def footprint_counts(spark, sf):
     df = add_extended_class(objects(spark, sf), "griz")
     picks = {"r": catalog_selection("r"), "griz": catalog_selection("griz"), "any": catalog_selection("any"), "star": catalog_selection("r", extclass="star")}
@@ -69,6 +102,14 @@ def density(spark, sf):
     return rounded(maps.galaxy_density(objects(spark, sf), 16))
 
 
+DENSITY_SQL = oracle(
+    f"""
+    SELECT nest AS pix, round(count(*)/{pixel_area_deg2(16)!r}::double, 6) AS density FROM ({nested_sql(16, "objects_v")})
+    WHERE WAVG_MAG_AUTO_I > 195e-1 AND WAVG_MAG_AUTO_I < 205e-1 AND WAVG_SPREAD_MODEL_I > 5e-3 GROUP BY nest
+    """, "objects_v",
+)
+
+
 def log_density(spark, sf):
     return rounded(maps.log_density(objects(spark, sf), 16))
 
@@ -117,6 +158,45 @@ def ebv_interp(spark, sf):
     return rounded(out.select("OBJID", "EBV", *[f"EXTINCTION_{b.upper()}" for b in "griz"]))
 
 
+def _ring_geometry_sql(ring: str, p: str, n: int = 8) -> str:
+    """First pixel, length, shift and colatitude of a ring."""
+    nr = f"(CASE WHEN {ring} > {2 * n} THEN {4 * n} - {ring} ELSE {ring} END)"
+    cap = f"{nr} < {n}"
+    before = f"(CASE WHEN {cap} THEN 2*{nr}*({nr} - 1) ELSE {2 * n * (n - 1)} + ({nr} - {n})*{4 * n} END)"
+    length = f"(CASE WHEN {cap} THEN 4*{nr} ELSE {4 * n} END)"
+    cosine = f"(CASE WHEN {cap} THEN 1 - {nr}*{nr}/{3e0 * n * n!r}::double ELSE ({2 * n} - {nr})*2e0/{3 * n} END)"
+    return (
+        f"CASE WHEN {ring} > {2 * n} THEN {npix(n)} - {before} - {length} ELSE {before} END AS {p}start, {length} AS {p}len, "
+        f"CASE WHEN {cap} OR ({nr} - {n}) % 2 = 0 THEN 5e-1 ELSE 0e0 END AS {p}shift, acos(CASE WHEN {ring} > {2 * n} THEN -1 ELSE 1 END*{cosine}) AS {p}theta"
+    )
+
+
+EBV_SQL = oracle(
+    f"""
+    , dust AS (SELECT o_orderkey % {npix(8)} AS pix, avg(o_totalprice)/1e6 AS ebv FROM orders GROUP BY 1
+    ), placed AS (SELECT OBJID, sin(b) AS z, pi()/2 - b AS th, CASE WHEN l < 0 THEN l + 2*pi() ELSE l END AS ph
+        FROM (SELECT OBJID, atan2({GALACTIC_SQL[1]}, {GALACTIC_SQL[0]}) AS l, asin({GALACTIC_SQL[2]}) AS b FROM reference_v)
+    ), ringed AS (SELECT *, CAST(CASE WHEN abs(z) <= 2e0/3 THEN floor(8*(2 - 15e-1*z)) WHEN z > 0 THEN floor(8*sqrt(3*(1 - z))) ELSE 31 - floor(8*sqrt(3*(1 + z))) END AS BIGINT) AS ia FROM placed
+    ), between_rings AS (SELECT *, greatest(ia, 1) AS ra_, least(ia + 1, 31) AS rb_ FROM ringed
+    ), shaped AS (SELECT *, {_ring_geometry_sql("ra_", "u")}, {_ring_geometry_sql("rb_", "l")} FROM between_rings
+    ), along AS (SELECT *, ph*ulen/(2*pi()) - ushift AS ut, ph*llen/(2*pi()) - lshift AS lt,
+        CASE WHEN ia = 0 THEN th/ltheta WHEN ia = 31 THEN (th - utheta)/(pi() - utheta) ELSE (th - utheta)/(ltheta - utheta) END AS s FROM shaped
+    ), whole AS (SELECT *, CAST(floor(ut) AS BIGINT) AS ui, CAST(floor(lt) AS BIGINT) AS li,
+        CASE WHEN ia = 0 THEN (1 - s)/4 WHEN ia = 31 THEN s/4 ELSE 0 END AS q FROM along
+    ), taps AS (
+        SELECT OBJID, unnest([
+            {{'pix': CASE WHEN ia = 0 THEN (lstart + (li + llen) % llen + 2) % 4 ELSE ustart + (ui + ulen) % ulen END, 'w': CASE WHEN ia = 0 THEN q ELSE (1 - s)*(1 - ut + ui) + q END}},
+            {{'pix': CASE WHEN ia = 0 THEN (lstart + (li + 1) % llen + 2) % 4 ELSE ustart + (ui + 1) % ulen END, 'w': CASE WHEN ia = 0 THEN q ELSE (1 - s)*(ut - ui) + q END}},
+            {{'pix': CASE WHEN ia = 31 THEN (ustart + (ui + ulen) % ulen + 2) % 4 + {npix(8) - 4} ELSE lstart + (li + llen) % llen END, 'w': CASE WHEN ia = 31 THEN q ELSE s*(1 - lt + li) + q END}},
+            {{'pix': CASE WHEN ia = 31 THEN (ustart + (ui + 1) % ulen + 2) % 4 + {npix(8) - 4} ELSE lstart + (li + 1) % llen END, 'w': CASE WHEN ia = 31 THEN q ELSE s*(lt - li) + q END}}]) AS tap
+        FROM whole
+    ), summed AS (SELECT OBJID, CASE WHEN count(ebv) FILTER (WHERE tap.w > 0) = count(*) FILTER (WHERE tap.w > 0) THEN sum(tap.w*ebv) FILTER (WHERE tap.w > 0) END AS EBV
+        FROM taps LEFT JOIN dust ON dust.pix = tap.pix GROUP BY OBJID)
+    SELECT OBJID, round(EBV, 6) AS EBV, round(3186e-3*EBV, 6) AS EXTINCTION_G, round(214e-2*EBV, 6) AS EXTINCTION_R, round(1569e-3*EBV, 6) AS EXTINCTION_I, round(1196e-3*EBV, 6) AS EXTINCTION_Z FROM summed
+    """, "reference_v",
+)
+
+
 def disc_footprint(spark, sf):
     """Pixels whose centre lies in the field of each exposure."""
     pix = disc_pixels(views.exposures(spark, sf), 32, "telra", "teldec", 3.0)
@@ -287,15 +367,15 @@ MASK_SQL = oracle(
 
 QUERIES = {
     "healpix_index": (healpix_index, HEALPIX_SQL),
-    "healpix_nested": (healpix_nested, None),
+    "healpix_nested": (healpix_nested, NESTED_SQL),
     "footprint_counts": (footprint_counts, FOOTPRINT_SQL),
-    "density": (density, None),
+    "density": (density, DENSITY_SQL),
     "log_density": (log_density, LOG_DENSITY_SQL),
     "teff_map": (teff_map, TEFF_MAP_SQL),
     "depth_map": (depth_map, None),
     "depth_map_auto": (depth_map_auto, None),
     "sparse_depth": (sparse_depth, None),
-    "ebv_interp": (ebv_interp, None),
+    "ebv_interp": (ebv_interp, EBV_SQL),
     "disc_footprint": (disc_footprint, DISC_SQL),
     "astrom_external": (astrom_external, EXTERNAL_SQL),
     "astrom_internal": (astrom_internal, INTERNAL_SQL),

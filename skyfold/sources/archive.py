@@ -376,11 +376,19 @@ def zeropoint_query(tags: Sequence[str], routes: Sequence[tuple[str, object]]) -
     return None
 
 
+#: Sampling places a row among SAMPLE_CELLS by a multiplicative hash.
+SAMPLE_CELLS, SAMPLE_FACTOR = 1_000_003, 48_271
+
+
 def sampled_box(df: DataFrame, ra: float = 40.0, dec: float = -34.4, delta: float = 1.0, fraction: float = 0.01, seed: int = 1) -> DataFrame:
-    """A sample of star candidates in a box. The sampling is the feature."""
+    """A sample of star candidates in a box. The sampling is the feature.
+
+    A row is chosen by a multiplicative hash of its ``CATALOG_ID``, so a sample is the same on every run.
+    """
     box = F.col("RA").between(ra - delta, ra + delta) & F.col("DEC").between(dec - delta, dec + delta)
     mags = F.col("MAG_PSF_G").between(15, 30) & F.col("MAG_PSF_R").between(15, 30)
-    chosen = df.sample(fraction, seed) if fraction < 1.0 else df
+    draw = F.pmod((F.pmod(F.col("CATALOG_ID"), F.lit(SAMPLE_CELLS)) + seed) * SAMPLE_FACTOR, F.lit(SAMPLE_CELLS))
+    chosen = df.where(draw < int(fraction * SAMPLE_CELLS)) if fraction < 1.0 else df
     return chosen.where(box & mags & (F.abs("SPREAD_MODEL_R") < 0.01)).select("CATALOG_ID", "RA", "DEC", "MAG_PSF_G", "MAG_PSF_R", "SPREAD_MODEL_R")
 
 
