@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skyfold.llm.common import fresh
 from skyfold.session import discard, materialize
 
 MARGINS = ("source", "lang", "topic")
@@ -121,7 +122,8 @@ def mixture(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0) ->
 
 def sampled_documents(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0) -> DataFrame:
     """Rows of ``docs`` that the mixture keeps, with their columns as they are."""
-    dropped = mixture(docs, targets, seed).where("NOT sampled").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))})
-    met = marked["_id"].eqNullSafe(dropped["_id"]) & (marked["_key"] == dropped["_key"])
+    own, mark = fresh(docs, "_own_id"), fresh(docs, "_text_mark")
+    dropped = mixture(docs, targets, seed).where("NOT sampled").select(F.col("doc_id").alias(f"{own}2"), F.col("key").alias(f"{mark}2"))
+    marked = docs.withColumns({own: F.col("doc_id").cast("long"), mark: F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))})
+    met = F.col(own).eqNullSafe(F.col(f"{own}2")) & (F.col(mark) == F.col(f"{mark}2"))
     return marked.join(dropped, met, "left_anti").select(*docs.columns)

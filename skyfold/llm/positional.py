@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from skyfold.llm.common import fresh
 from skyfold.operators.ids import dense_ids
 from skyfold.session import materialize
 
@@ -133,7 +134,8 @@ def clean_documents(docs: DataFrame, items: DataFrame, size: int = WORDS) -> Dat
     """Rows of ``docs`` in which no test window occurs, with their columns as they are."""
     _, window_terms, terms = windows_of(items, size)
     matches = phrase_matches(build_index(docs, terms), window_terms)
-    hit = materialize(matches.select(F.col("doc").alias("_doc"), F.col("key").alias("_key")).distinct(), "hits")
+    doc, key = fresh(docs, "_doc"), fresh(docs, "_key")
+    hit = materialize(matches.select(F.col("doc").alias(doc), F.col("key").alias(key)).distinct(), "hits")
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    marked = docs.withColumns({"_doc": F.coalesce(doc_id, F.lit(0)), "_key": F.hash(F.coalesce(text, F.lit("")), doc_id.isNull())})
-    return marked.join(hit, ["_doc", "_key"], "left_anti").select(*docs.columns)
+    marked = docs.withColumns({doc: F.coalesce(doc_id, F.lit(0)), key: F.hash(F.coalesce(text, F.lit("")), doc_id.isNull())})
+    return marked.join(hit, [doc, key], "left_anti").select(*docs.columns)
