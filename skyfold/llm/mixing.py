@@ -38,7 +38,7 @@ def topic_of(text: Column) -> Column:
     """Topic of a text by its make-up: tables, code or markup, numbers, dialogue and prose, or none for blank texts."""
     whole = F.coalesce(text.cast("string"), F.lit(""))
     size = F.char_length(whole)
-    share = lambda kept: F.regexp_count(whole, F.lit(kept)) / size
+    share = lambda kept: F.try_divide(F.regexp_count(whole, F.lit(kept)), size)
     chosen = F.when(share(r"\|") > 0.02, "table").when(share(r"[{}<>=#$%&*\\\[\]]") > 0.03, "markup").when(share("[0-9]") > 0.1, "numbers").when(share(r'[!?"]') > 0.02, "dialogue").otherwise("prose")
     return F.when(F.trim(whole) == "", "none").otherwise(chosen)
 
@@ -54,7 +54,7 @@ def tempered_targets(cells: DataFrame, temper: float = TEMPER) -> DataFrame:
     """``(margin, value, share)``: each margin's token shares raised to ``temper`` and made to add up to 1."""
     parts = [cells.groupBy(F.lit(m).alias("margin"), F.col(m).alias("value")).agg(F.sum("tokens").alias("t")) for m in MARGINS]
     powers = parts[0].unionByName(parts[1]).unionByName(parts[2]).select("margin", "value", F.pow(F.col("t").cast("double"), F.lit(temper)).alias("w"))
-    return powers.join(powers.groupBy("margin").agg(F.sum("w").alias("whole")), "margin").select("margin", "value", (F.col("w") / F.col("whole")).alias("share"))
+    return powers.join(powers.groupBy("margin").agg(F.sum("w").alias("whole")), "margin").select("margin", "value", F.coalesce(F.try_divide("w", "whole"), F.lit(0.0)).alias("share"))
 
 
 def _raked(cells: DataFrame, targets: DataFrame, margin: str) -> DataFrame:
