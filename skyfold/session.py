@@ -63,14 +63,17 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder below the scratch folder; nothing may read it afterwards."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark)).toUri().getPath().rstrip("/") + "/"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.toUri().getPath().startswith(home):
+        raise ValueError(f"not below the scratch folder: {folder}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(table: DataFrame | None) -> None:
     """Deletes the files behind a table that :func:`materialize` returned; nothing may read it afterwards."""
-    if table is None:
-        return
-    spark = table.sparkSession
-    home = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark)).toUri().getPath().rstrip("/") + "/"
-    for folder in {os.path.dirname(f) for f in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if not path.toUri().getPath().startswith(home):
-            raise ValueError(f"not a scratch table: {folder}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if table is not None:
+        for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+            remove(table.sparkSession, folder)
