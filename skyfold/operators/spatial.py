@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skyfold.functions.coords import chord, chord_to_angle, unit_vector
 from skyfold.functions.staging import fixed
-from skyfold.session import materialize
+from skyfold.session import discard, materialize
 
 HOT_CELL_ROWS = 20_000
 CELLS_PER_RADIUS = 4.0
@@ -216,6 +216,7 @@ def nearest_other(
     waiting = waiting.join(sizes.drop("_n"), group, "left_semi") if group else (waiting if sizes.count() else waiting.limit(0))
     radius = start_radius or _start_radius(copies, group)
     results = [same_place]
+    written: DataFrame | None = None
     while True:
         radius = min(radius, 180.0)
         a, b, keys = meeting_sides(waiting, field, radius, group, hot_cells(waiting, radius, group, rows_per_part))
@@ -231,6 +232,8 @@ def nearest_other(
         )
         results.append(found)
         waiting = materialize(waiting.join(found.select(*group, "id"), [*group, "id"], "left_anti"), "waiting")
+        discard(written)
+        written = waiting
         if whole_sky or waiting.isEmpty():
             break
         radius *= growth

@@ -10,7 +10,7 @@ from skyfold.functions.healpix import disc_pixels
 from skyfold.functions.photometry import flux_to_mag, flux_to_magerr
 from skyfold.operators.ids import dense_ids
 from skyfold.operators.quantiles import exact_median
-from skyfold.session import materialize
+from skyfold.session import discard, materialize
 
 FIELD_RADIUS_DEG = 1.1
 
@@ -68,10 +68,13 @@ def homogenize(
         decided = ready if decided is None else decided.unionByName(ready)
         gains = waiting.join(ready.where("accepted").select(*unit), unit, "left_semi").groupBy(*place).agg(F.sum("gain").alias("depth"))
         grown = gains if reached is None else reached.unionByName(gains).groupBy(*place).agg(F.sum("depth").alias("depth"))
-        waiting = materialize(waiting.join(ready.select(*unit), unit, "left_anti"), "coverage")
-        if waiting.isEmpty():
+        following = materialize(waiting.join(ready.select(*unit), unit, "left_anti"), "coverage")
+        if following.isEmpty():
             return decided.select("mode", "expnum", "band", "accepted", "rank")
-        reached = materialize(grown.join(waiting.select(*place).distinct(), place, "left_semi"), "reached")
+        deeper = materialize(grown.join(following.select(*place).distinct(), place, "left_semi"), "reached")
+        discard(waiting)
+        discard(reached)
+        waiting, reached = following, deeper
 
 
 def closest_exposure(exposures: DataFrame, target: float = 2.0, keys: Sequence[str] = ("tag", "band")) -> DataFrame:
