@@ -309,7 +309,8 @@ def gaia_predict(spark, sf):
     return rounded(df.select("OBJID", *[photometry.predicted_gaia_g(*args, version=v).alias(f"pred_{v}") for v in ("dr2", "edr3")], F.col("PHOT_G_MEAN_MAG_AB").alias("observed")))
 
 
-def _gaia_sql(v):
+def gaia_expr(v):
+    """Predicted Gaia G of columns G, R, I and Z."""
     m, w = photometry.GAIA_MODEL[v], photometry.GAIA_WAVELENGTH
     k = "ln(10e0)/25e-1"
     s = [f"(-({k})*({b} - {a})/({w[i + 1] - w[i]!r}::double))" for i, (a, b) in enumerate(zip("GRI", "RIZ"))]
@@ -317,7 +318,11 @@ def _gaia_sql(v):
     prime = [f"({s[0]} + {f[0]}e0*({s[1]} + {s[0]}))", f"({f[1]}e0*({s[0]} + {s[1]})/2)", f"({f[2]}e0*({s[1]} + {s[2]})/2)",
              f"({s[2]} + {f[3]}e0*({(w[3] - w[2]) / (w[3] - w[1])!r}::double)*({s[2]} - {s[1]}))"]
     flux = " + ".join(f"{kk!r}::double*pow(10e0, {b}/(-25e-1))*(1 + {p}*({c!r}::double))" for kk, b, p, c in zip(m["weight"], "GRIZ", prime, m["color"]))
-    return f"round(-25e-1*log10({flux}) + ({m['curve'][0]!r}::double)*(R - 17) + ({m['curve'][1]!r}::double)*(R - 17)*(R - 17) + ({m['shift']!r}::double), 6) AS pred_{v}"
+    return f"(-25e-1*log10({flux}) + ({m['curve'][0]!r}::double)*(R - 17) + ({m['curve'][1]!r}::double)*(R - 17)*(R - 17) + ({m['shift']!r}::double))"
+
+
+def _gaia_sql(v):
+    return f"round({gaia_expr(v)}, 6) AS pred_{v}"
 
 
 GAIA_SQL = oracle(

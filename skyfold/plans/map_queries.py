@@ -11,7 +11,7 @@ from skyfold.operators.coadd import add_extended_class, add_extinction, coadd_he
 from skyfold.operators.stats import sigma_clipped
 from skyfold.operators.zeropoints import zeropoint_pairs
 from skyfold.plans import views
-from skyfold.plans.column_queries import GALACTIC_SQL, LOCUS_INPUT_SQL, _CUT, _cls, _sep_sql
+from skyfold.plans.column_queries import GALACTIC_SQL, LOCUS_INPUT_SQL, _CUT, _cls, _sep_sql, gaia_expr
 from skyfold.plans.shared import good, objects, rounded
 from skyfold.plans.views import oracle
 from skyfold.schema import OBJECT_ID
@@ -244,6 +244,26 @@ def gaia_offsets(spark, sf):
     return rounded(maps.gaia_photometry(df, gaia, OBJECT_ID, "OBJID", nside=2))
 
 
+def _gaia_matches_sql(mags: dict[str, str], spread: str, where: str) -> str:
+    """Stars next to a reference row, with predicted and observed magnitude; a star is near its own reference row only."""
+    named = ", ".join(f"{m} AS {b}" for b, m in mags.items())
+    return f"""
+        SELECT left_id, right_id, RA, DEC, {gaia_expr("edr3")} AS G_PRED, G_OBS FROM (
+            SELECT o.TRUE_ID AS left_id, r.OBJID AS right_id, o.RA, o.DEC, r.R - 5e-1 AS G_OBS, o.G, o.R, o.I, o.Z
+            FROM (SELECT TRUE_ID, RA, DEC, {spread} AS spread, NEPOCHS_R, {named} FROM objects_v WHERE {where}) o
+            JOIN reference_v r ON o.TRUE_ID = r.OBJID AND {_sep_sql("o.RA", "o.DEC", "r.RA", "r.DEC")} < 5e-1/3600
+            WHERE r.R - 5e-1 < 20 AND abs(spread) < 2e-3 AND o.R > 16 AND o.R < 20 AND NEPOCHS_R > 1 AND o.G - o.I > 5e-1 AND o.G - o.I < 15e-1
+                AND o.G < 90 AND o.R < 90 AND o.I < 90 AND o.Z < 90
+        )"""
+
+
+_WAVG_MAGS = {"G": "WAVG_MAG_PSF_G", "R": "WAVG_MAG_PSF_R", "I": "WAVG_MAG_PSF_I", "Z": "(WAVG_MAG_PSF_I - 1e-1)"}
+GAIA_OFFSETS_SQL = oracle(
+    f"SELECT {ring_sql(2)} AS pix, round(median(G_PRED - G_OBS), 6) AS value, count(*) AS n FROM ({_gaia_matches_sql(_WAVG_MAGS, 'WAVG_SPREAD_MODEL_R', 'TRUE')}) GROUP BY 1",
+    "objects_v", "reference_v",
+)
+
+
 def gaia_shifted(spark, sf):
     """The variant that moves magnitudes to another zeropoint solution first."""
     gaia = views.reference(spark, sf).select("OBJID", "RA", "DEC", (F.col("R") - 0.5).alias("PHOT_G_MEAN_MAG_AB"))
@@ -252,6 +272,14 @@ def gaia_shifted(spark, sf):
     return rounded(maps.gaia_matches(df, gaia, OBJECT_ID, "OBJID", field="", zero_shift=True).select("left_id", "right_id", "G_PRED", "G_OBS"))
 
 
+_SHIFT = "((30e0 + (TRUE_ID % 15)/1e2) - 30e0)"
+_SHIFTED_MAGS = {"G": f"MAG_PSF_G + {_SHIFT}", "R": f"MAG_PSF_R + {_SHIFT}", "I": f"MAG_PSF_I + {_SHIFT}", "Z": f"MAG_PSF_I - 1e-1 + {_SHIFT}"}
+GAIA_SHIFTED_SQL = oracle(
+    f"SELECT left_id, right_id, round(G_PRED, 6) AS G_PRED, round(G_OBS, 6) AS G_OBS FROM ({_gaia_matches_sql(_SHIFTED_MAGS, 'SPREAD_MODEL_R', f'abs({_SHIFT}) < 1e-1')})",
+    "objects_v", "reference_v",
+)
+
+
 def photom_offsets(spark, sf):
     df = objects(spark, sf)
     other = df.withColumn("WAVG_MAG_PSF_R", F.col("WAVG_MAG_PSF_R") + (F.col("TRUE_ID") % 7) / 1e3)
@@ -379,8 +407,8 @@ QUERIES = {
     "disc_footprint": (disc_footprint, DISC_SQL),
     "astrom_external": (astrom_external, EXTERNAL_SQL),
     "astrom_internal": (astrom_internal, INTERNAL_SQL),
-    "gaia_offsets": (gaia_offsets, None),
-    "gaia_shifted": (gaia_shifted, None),
+    "gaia_offsets": (gaia_offsets, GAIA_OFFSETS_SQL),
+    "gaia_shifted": (gaia_shifted, GAIA_SHIFTED_SQL),
     "photom_offsets": (photom_offsets, PHOTOM_SQL),
     "rms_map_weighted": (rms_map_weighted, RMS_SQL),
     "rms_map_detections": (rms_map_detections, RMS_DET_SQL),
