@@ -147,6 +147,55 @@ def sparse_depth(spark, sf):
     return rounded(maps.sparse_depth_map(_shards(spark, sf), OBJECT_ID, nside=4))
 
 
+def _depth_sql(kind: str, target: str, start: str, cut: str, stars: bool) -> str:
+    """Depth per band and pixel by its definition: every pair of objects of a shard, every slope at every grid point."""
+    parts = " UNION ALL ".join(
+        f"SELECT CAST(floor((DEC + 60)/45) AS BIGINT) AS hpx, '{b}' AS band, TRUE_ID AS id, RA, DEC, MAG_{kind}_{b.upper()} AS mag, MAGERR_{kind}_{b.upper()} AS err, "
+        f"{cut}_{b.upper()} AS cut, WAVG_SPREAD_MODEL_{b.upper()} AS spread FROM objects_v"
+        for b in "grizY"
+    )
+    return oracle(
+        f"""
+        , rows_ AS ({parts}
+        ), bins AS (
+            SELECT hpx, band, least(CAST(floor((cut - {start})/1e-1 + 1e-9) AS BIGINT), CAST(round((299e-1 - {start})*10) AS BIGINT) - 1) AS bin, count(*) AS n
+            FROM rows_ WHERE cut >= {start} AND cut <= 299e-1 GROUP BY 1, 2, 3
+        ), ends AS (
+            SELECT hpx, band, {start} + 1e-1*arg_min(bin, (-n, bin)) - 3 AS bright FROM bins GROUP BY 1, 2
+        ), chosen AS (
+            SELECT r.* FROM rows_ r JOIN ends e USING (hpx, band) WHERE cut - bright > 0 AND cut < 30 {"AND abs(spread) < 2e-3" if stars else ""}
+        ), pairs AS (
+            SELECT hpx, band, id, arg_min(other, (d, other)) AS other FROM (
+                SELECT a.hpx, a.band, a.id, b.id AS other,
+                    pow(sin(radians(b.DEC - a.DEC)/2), 2) + cos(radians(a.DEC))*cos(radians(b.DEC))*pow(sin(radians(b.RA - a.RA)/2), 2) AS d
+                FROM chosen a JOIN chosen b ON a.hpx = b.hpx AND a.band = b.band AND a.id <> b.id
+            ) GROUP BY 1, 2, 3
+        ), slopes AS (
+            SELECT p.hpx, p.band, (log10(b.err) - log10(a.err))/(b.mag - a.mag) AS v
+            FROM pairs p JOIN chosen a ON (a.hpx, a.band, a.id) = (p.hpx, p.band, p.id) JOIN chosen b ON (b.hpx, b.band, b.id) = (p.hpx, p.band, p.other)
+            WHERE b.mag - a.mag > 5e-1
+        ), widths AS (
+            SELECT hpx, band, pow(count(*), -2e-1)*stddev_samp(v) AS h FROM slopes GROUP BY 1, 2 HAVING count(*) > 1
+        ), sums AS (
+            SELECT hpx, band, g, sum(exp(-5e-1*pow((g/999e0 - v)/h, 2))) AS s FROM slopes JOIN widths USING (hpx, band), range(1000) t(g) WHERE h > 0 GROUP BY 1, 2, 3
+        ), modes AS (
+            SELECT hpx, band, arg_max(g, (s, -g))/999e0 AS slope FROM sums GROUP BY 1, 2
+        )
+        SELECT band, {ring_sql(4)} AS pix, round(median(mag - (log10(err) - log10({target}))/nullif(slope, 0)), 6) AS maglim
+        FROM chosen JOIN modes USING (hpx, band) GROUP BY 1, 2
+        """, "objects_v",
+    )
+
+
+_POGSON = "25e-1/ln(10e0)"
+DEPTH_SQL = _depth_sql("PSF", f"({_POGSON}/10)", "17e0", "MAG_PSF", True)
+DEPTH_AUTO_SQL = _depth_sql("AUTO", f"({_POGSON}/5)", "17e0", "MAG_AUTO", False)
+SPARSE_DEPTH_SQL = (
+    "SELECT pix, " + ", ".join(f"max(maglim) FILTER (WHERE band = '{b}') AS MAGLIM_{b.upper()}" for b in "grizY")
+    + f" FROM ({_depth_sql('PSF', '1e-1', '15e0', 'WAVG_MAG_PSF', True)}) GROUP BY pix"
+)
+
+
 def _dust(spark, sf):
     """A map with a value in every pixel, from the whole orders table: mean price by pixel number."""
     return views.table(spark, sf, "orders").groupBy((F.col("o_orderkey") % npix(8)).alias("pix")).agg((F.avg("o_totalprice") / 1e6).alias("ebv"))
@@ -400,9 +449,9 @@ QUERIES = {
     "density": (density, DENSITY_SQL),
     "log_density": (log_density, LOG_DENSITY_SQL),
     "teff_map": (teff_map, TEFF_MAP_SQL),
-    "depth_map": (depth_map, None),
-    "depth_map_auto": (depth_map_auto, None),
-    "sparse_depth": (sparse_depth, None),
+    "depth_map": (depth_map, DEPTH_SQL),
+    "depth_map_auto": (depth_map_auto, DEPTH_AUTO_SQL),
+    "sparse_depth": (sparse_depth, SPARSE_DEPTH_SQL),
     "ebv_interp": (ebv_interp, EBV_SQL),
     "disc_footprint": (disc_footprint, DISC_SQL),
     "astrom_external": (astrom_external, EXTERNAL_SQL),
