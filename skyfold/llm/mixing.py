@@ -1,9 +1,10 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are counted per cell (source, language, topic); the cells' weights are raked in turn to the target share of each
-margin until all margins hold. A document is then sampled with the ratio of its cell's fitted to its cell's own tokens,
-scaled so that the largest ratio keeps everything: nothing is repeated, and the kept tokens have the target margins
-in expectation. The draw hashes the ``doc_id``, so it is the same on every run and any cluster.
+margin until all margins hold. A document is then sampled with a probability in proportion to the ratio of its cell's
+fitted to its cell's own tokens, at a scale that keeps the wanted share of all tokens in expectation. Nothing is
+repeated, so a cell whose ratio asks for more than it holds is kept whole; ``weight / probability`` of the kept
+rows still has the target margins in expectation. The draw hashes the ``doc_id``, so it is the same on every run and any cluster.
 
 Counting adds up by task before the shuffle, so a source with a third of all rows is one row per task. Raking works on
 the table of cells with grouped sums joined back, each sweep ending in a written table; its size follows the number
@@ -22,6 +23,9 @@ from skyfold.session import discard, materialize
 MARGINS = ("source", "lang", "topic")
 #: Exponent of the default targets: 1 keeps the shares as they are, 0 makes all values of a margin equal.
 TEMPER = 0.9
+#: Share of all tokens to keep, in expectation.
+KEEP = 0.9
+SCALE_STEPS, SCALE_ROUNDS = 64, 6
 TOLERANCE = 1e-6
 #: Targets that the cells cannot meet together never settle; raking then ends when sweeps no longer bring them closer.
 SETTLED = 0.99
@@ -99,7 +103,27 @@ def rake(cells: DataFrame, targets: DataFrame, margins: Sequence[str] = MARGINS,
             return now
 
 
-def mixture(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0) -> DataFrame:
+def kept_scale(cells: DataFrame, keep: float) -> float:
+    """Factor ``c`` with sum(tokens * min(1, c * ratio)) = keep * sum(tokens) over ``cells(tokens, ratio)``.
+
+    The sum grows with ``c``; each pass over the cells tries evenly spaced factors and goes on between two of them. If
+    even whole cells hold less than wanted, all cells with a ratio above 0 are whole.
+    """
+    whole, smallest = cells.agg(F.sum("tokens"), F.min(F.when(F.col("ratio") > 0, F.col("ratio")))).first()
+    if not whole or smallest is None:
+        return 1.0
+    low, high = 0.0, 1.0 / smallest
+    for _ in range(SCALE_ROUNDS):
+        tried = [low + (high - low) * k / SCALE_STEPS for k in range(SCALE_STEPS + 1)]
+        sums = cells.agg(*[F.sum(F.col("tokens") * F.least(F.col("ratio") * F.lit(c), F.lit(1.0))).alias(f"s{k}") for k, c in enumerate(tried)]).first()
+        above = [k for k, s in enumerate(sums) if s >= keep * whole]
+        if not above:
+            return high
+        low, high = tried[max(above[0] - 1, 0)], tried[above[0]]
+    return high
+
+
+def mixture(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0, keep: float = KEEP) -> DataFrame:
     """Every row of ``docs`` with its weight: ``doc_id, source, lang, topic, tokens, weight, probability, sampled``.
 
     ``weight`` is the row's token share after raking, ``probability`` that of keeping it. ``targets(margin, value,
@@ -112,18 +136,18 @@ def mixture(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0) ->
     fitted = rake(cells.where("tokens > 0"), wanted)
     whole = cells.agg(F.sum("tokens")).first()[0] or 1
     ratio = fitted.withColumn("ratio", F.col("weight") * F.lit(float(whole)) / F.col("tokens")).select(*MARGINS, "ratio")
-    largest = ratio.agg(F.max("ratio")).first()[0] or 1.0
+    scale = kept_scale(fitted.withColumn("ratio", F.col("weight") * F.lit(float(whole)) / F.col("tokens")), keep)
     joined = rows.join(ratio, list(MARGINS), "left").withColumn("ratio", F.coalesce("ratio", F.lit(0.0)))
-    probability = F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(F.least(F.col("ratio") / F.lit(largest), F.lit(1.0)))
+    probability = F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(F.least(F.col("ratio") * F.lit(scale), F.lit(1.0)))
     drawn = F.pmod(F.xxhash64(F.coalesce("doc_id", "key"), F.lit(seed)), F.lit(DRAWS)) / F.lit(float(DRAWS))
     kept = joined.withColumns({"weight": F.col("tokens") * F.col("ratio") / F.lit(float(whole)), "probability": probability})
     return kept.withColumn("sampled", drawn < F.col("probability")).select("doc_id", *MARGINS, "tokens", "weight", "probability", "sampled", "key")
 
 
-def sampled_documents(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0) -> DataFrame:
+def sampled_documents(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0, keep: float = KEEP) -> DataFrame:
     """Rows of ``docs`` that the mixture keeps, with their columns as they are."""
     own, mark = fresh(docs, "_own_id"), fresh(docs, "_text_mark")
-    dropped = mixture(docs, targets, seed).where("NOT sampled").select(F.col("doc_id").alias(f"{own}2"), F.col("key").alias(f"{mark}2"))
+    dropped = mixture(docs, targets, seed, keep).where("NOT sampled").select(F.col("doc_id").alias(f"{own}2"), F.col("key").alias(f"{mark}2"))
     marked = docs.withColumns({own: F.col("doc_id").cast("long"), mark: F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))})
     met = F.col(own).eqNullSafe(F.col(f"{own}2")) & (F.col(mark) == F.col(f"{mark}2"))
     return marked.join(dropped, met, "left_anti").select(*docs.columns)

@@ -40,10 +40,15 @@ def test_raking_against_plain_fitting(spark):
     for r in rows:
         have[r.source, r.lang, r.topic] += r.weight
     assert all(have[c] == pytest.approx(want.get(c, 0), abs=1e-5) for c in cells)
-    ratio = max(want[c] / (n / sum(cells.values())) for c, n in cells.items() if n)
+    whole = sum(cells.values())
+    ratio = {c: want[c] * whole / n for c, n in cells.items() if n}
+    low, high = 0.0, 1 / min(ratio.values())
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (low, mid) if sum(n * min(1, mid * ratio[c]) for c, n in cells.items() if n) >= mixing.KEEP * whole else (mid, high)
     for r in rows:
-        c = (r.source, r.lang, r.topic)
-        assert r.probability == pytest.approx(1.0 if not r.tokens else want[c] / (cells[c] / sum(cells.values())) / ratio, abs=1e-4)
+        assert r.probability == pytest.approx(1.0 if not r.tokens else min(1, high * ratio[r.source, r.lang, r.topic]), abs=1e-4)
+    assert sum(r.tokens * r.probability for r in rows) == pytest.approx(mixing.KEEP * whole, rel=1e-4)
     kept = sum(r.tokens for r in rows if r.sampled)
     hoped = sum(r.tokens * r.probability for r in rows)
     assert abs(kept - hoped) < 6 * np.sqrt(sum(r.tokens**2 * r.probability * (1 - r.probability) for r in rows))
