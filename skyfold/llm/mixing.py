@@ -25,7 +25,7 @@ MARGINS = ("source", "lang", "topic")
 TEMPER = 0.9
 #: Share of all tokens to keep, in expectation.
 KEEP = 0.9
-SCALE_STEPS, SCALE_ROUNDS = 64, 6
+SCALE_STEPS, SCALE_ROUNDS = 16, 9
 TOLERANCE = 1e-6
 #: Targets that the cells cannot meet together never settle; raking then ends when sweeps no longer bring them closer.
 SETTLED = 0.99
