@@ -27,8 +27,8 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     return known.select("conv_id", F.col("turn").cast("long").alias("turn"), role, text).distinct()
 
 
-def prefix_hashes(turns: DataFrame) -> DataFrame:
-    """Written ``conv_id, pos, n, role, text, h1, h2``: place of every turn, turns in all, rolling hashes up to the turn."""
+def numbered_turns(turns: DataFrame) -> DataFrame:
+    """Written ``conv_id, _part, pos, role, text, t1, t2``: place of every turn from 1, and its hashes."""
     pieces = materialize(turns.repartitionByRange("conv_id", *ORDER).withColumn("_part", F.spark_partition_id()), "turns")
     inside = W.partitionBy("conv_id", "_part").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, 0)
     before = W.partitionBy("conv_id").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -36,14 +36,20 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     counts = counts.select("conv_id", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
     placed = pieces.withColumn("_row", F.count(F.lit(1)).over(inside)).join(counts, ["conv_id", "_part"])
     numbered = placed.withColumn("pos", F.col("_row") + F.col("_ahead")).drop("_row", "_ahead")
-    hashed = materialize(numbered.withColumns({"t1": F.xxhash64("pos", "role", "text"), "t2": F.xxhash64("text", "pos", "role")}), "numbered")
+    return materialize(numbered.withColumns({"t1": F.xxhash64("pos", "role", "text"), "t2": F.xxhash64("text", "pos", "role")}), "numbered")
+
+
+def prefix_hashes(numbered: DataFrame) -> DataFrame:
+    """Written ``conv_id, pos, n, h1, h2``: turns in all and rolling hashes up to each turn; the texts stay behind."""
+    hashed = numbered.select("conv_id", "_part", "pos", "t1", "t2")
+    before = W.partitionBy("conv_id").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     totals = hashed.groupBy("conv_id", "_part").agg(F.bit_xor("t1").alias("x1"), F.bit_xor("t2").alias("x2"))
     carried = totals.select("conv_id", "_part", *[F.coalesce(F.bit_xor(x).over(before), F.lit(0).cast("long")).alias(f"c{x}") for x in ("x1", "x2")])
     local = W.partitionBy("conv_id", "_part").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     rolled = hashed.withColumns({"o1": F.bit_xor("t1").over(local), "o2": F.bit_xor("t2").over(local)}).join(carried, ["conv_id", "_part"])
     sizes = hashed.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
     joined = rolled.join(sizes, "conv_id")
-    return materialize(joined.select("conv_id", "pos", "n", "role", "text", F.col("o1").bitwiseXOR(F.col("cx1")).alias("h1"), F.col("o2").bitwiseXOR(F.col("cx2")).alias("h2")), "prefixes")
+    return materialize(joined.select("conv_id", "pos", "n", F.col("o1").bitwiseXOR(F.col("cx1")).alias("h1"), F.col("o2").bitwiseXOR(F.col("cx2")).alias("h2")), "prefixes")
 
 
 def maximal(prefixes: DataFrame) -> DataFrame:
@@ -64,8 +70,8 @@ def collapse(conversations: DataFrame) -> DataFrame:
     texts are empty. ``copies`` counts the conversations with exactly these turns. Other columns are ignored; no rows
     give no rows. A rendered conversation is one string, so it has to fit into a row.
     """
-    prefixes = prefix_hashes(turns_of(conversations))
-    kept = maximal(prefixes)
-    turns = prefixes.select("conv_id", "pos", rendered_turn(F.col("role"), F.col("text")).alias("turn")).join(kept, "conv_id")
+    numbered = numbered_turns(turns_of(conversations))
+    kept = materialize(maximal(prefix_hashes(numbered)), "maximal")
+    turns = numbered.select("conv_id", "pos", rendered_turn(F.col("role"), F.col("text")).alias("turn")).join(kept, "conv_id")
     joined = turns.groupBy("conv_id", F.col("n").alias("n_turns"), "copies").agg(F.array_sort(F.collect_list(F.struct("pos", "turn"))).alias("parts"))
     return joined.select("conv_id", "n_turns", "copies", F.array_join(F.col("parts.turn"), "").alias("rendered"))
