@@ -8,7 +8,8 @@ import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
 FAST = ["skim_select", "spread_class", "linear_transform", "calibrated_mags", "derive_zeropoints", "coadd_mag", "best_epoch", "nearest_ref", "nearest_other", "radius_pairs", "footprint_counts",
-        "confusion", "kde_mode", "range_rules", "finalcut_exposures", "disc_footprint", "mask_lookup", "match_1arcsec"]
+        "confusion", "kde_mode", "range_rules", "finalcut_exposures", "disc_footprint", "mask_lookup", "match_1arcsec",
+        "insert_checked", "manifest_files", "required_columns", "max_depth", "healpix_nested", "ebv_interp", "class_boundaries", "sinks_roundtrip"]
 
 
 def canonical(value):
