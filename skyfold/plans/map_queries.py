@@ -53,11 +53,12 @@ def nested_sql(nside: int, source: str, ra: str = "RA", dec: str = "DEC") -> str
 
 def healpix_index(spark, sf):
     """Ring pixels at three resolutions, and counts of objects in each."""
-    out = None
-    for nside in (8, 64, 1024):
-        part = with_pixel(views.detections(spark, sf), nside).groupBy("pix").agg(F.count(F.lit(1)).alias("n")).withColumn("nside", F.lit(nside).cast("long"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    sizes = (8, 64, 1024)
+    df = views.detections(spark, sf).select("RA", "DEC")
+    for nside in sizes:
+        df = with_pixel(df, nside, name=f"p{nside}")
+    each = F.array(*[F.struct(F.lit(nside).cast("long").alias("nside"), F.col(f"p{nside}").alias("pix")) for nside in sizes])
+    return df.select(F.inline(each)).groupBy("nside", "pix").agg(F.count(F.lit(1)).alias("n"))
 
 
 HEALPIX_SQL = oracle(
