@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfold.llm import chat, licences, mixing, negative_queries, positional, quality, secret_queries, simhash, spotsigs, token_files, toxicity, warc
+from skyfold.llm import chat, licences, mixing, negative_queries, positional, quality, secret_queries, simhash, spelling_queries, spotsigs, token_files, toxicity, warc
 from skyfold.llm.common import Query, table
 from skyfold.session import new_path
 
@@ -168,4 +168,4 @@ REGISTERED: dict[str, Query] = {
     "op8_quality": (op8_quality, None),
     "op9_simhash": (op9_simhash, None),
     "op10_token_ids": (op10_token_ids, None),
-} | negative_queries.REGISTERED | secret_queries.REGISTERED
+} | spelling_queries.REGISTERED | negative_queries.REGISTERED | secret_queries.REGISTERED
