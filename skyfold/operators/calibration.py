@@ -16,9 +16,11 @@ from skyfold.functions.photometry import by_band, interpolated_transform, linear
 from skyfold.functions.selections import calibration_star
 from skyfold.operators.quantiles import exact_percentiles
 from skyfold.operators.spatial import ARCSEC, _on, as_points, chord2, hot_cells, meeting_sides, nearest_join
+from skyfold.session import discard, materialize
 
 SIGMAS = 3.0
 REMOVALS = 2
+ROUNDING = 1e-13
 HALF_WINDOW = 5.0
 CONE_DEG = 1.2
 MATCH_ARCSEC = 0.5
@@ -42,30 +44,25 @@ def merge_reference_by_exposure(
     detections: DataFrame, reference: DataFrame, exposures: DataFrame, det_id: str, ref_id: str,
     arcsec: float = MATCH_ARCSEC, cone_deg: float = CONE_DEG, nside: int = 32,
 ) -> DataFrame:
-    """The same match done inside each exposure at once.
+    """The same match done inside each exposure, for all exposures at once.
 
-    Every reference row is matched against each exposure whose cone holds its shard pixel. Reference rows are
-    paired with exposures through the pixels of the cones, never all with all.
+    Detections meet reference rows in one cell join that does not know of exposures, so a reference row is copied for
+    the cells it touches and never for the exposures that see it. A pair counts when the exposure's cone holds the
+    reference row's shard pixel; the nearest detection of each (exposure, reference row) follows.
     """
-    cones = disc_pixels(exposures.select("EXPNUM", "TELRA", "TELDEC"), nside, "TELRA", "TELDEC", cone_deg, inclusive=True, name="hpx")
-    ref = with_pixel(reference, nside, name="hpx").join(cones.select("EXPNUM", "hpx"), "hpx").drop("hpx")
-    return nearest_in_group(ref, detections, "EXPNUM", ref_id, det_id, arcsec)
-
-
-def nearest_in_group(reference: DataFrame, detections: DataFrame, key: str, ref_id: str, det_id: str, arcsec: float) -> DataFrame:
-    ref = reference.withColumnsRenamed({"RA": "RA_REF", "DEC": "DEC_REF"})
-    ref_cols = [c for c in ref.columns if c not in (ref_id, key)]
-    det_cols = [c for c in detections.columns if c not in (det_id, key)]
-    lhs = as_points(ref.withColumn("_row", F.struct(*ref_cols)), ref_id, "RA_REF", "DEC_REF", keep=[key, "_row"])
-    rhs = as_points(detections.withColumn("_row", F.struct(*det_cols)), det_id, keep=[key, "_row"])
+    ref = with_pixel(reference.withColumnsRenamed({"RA": "RA_REF", "DEC": "DEC_REF"}), nside, "RA_REF", "DEC_REF", name="_hpx")
+    ref_cols, det_cols = ([c for c in df.columns if c not in (key, "EXPNUM", "_hpx")] for df, key in ((ref, ref_id), (detections, det_id)))
+    lhs = as_points(detections.withColumn("_row", F.struct(*det_cols)), det_id, keep=["EXPNUM", "_row"])
+    rhs = as_points(ref.withColumn("_ref", F.struct(*ref_cols)), ref_id, "RA_REF", "DEC_REF", keep=["_hpx", "_ref"])
     radius = arcsec * ARCSEC
-    a, b, keys = meeting_sides(lhs, rhs, radius, [key], hot_cells(lhs, radius, [key]))
+    a, b, keys = meeting_sides(lhs, rhs, radius, hot=hot_cells(lhs, radius))
     d2 = chord2("a", "b")
     near = a.alias("a").join(b.alias("b"), _on(keys, "a", "b") & (d2 < chord(radius) ** 2))
-    best = near.groupBy(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.id").alias(ref_id)).agg(
-        F.min(F.struct(d2.alias("d2"), F.col("b.id").alias("did"), F.col("b._row").alias("row"))).alias("_b"), F.first("a._row").alias("_a")
-    )
-    return best.select(key, ref_id, F.col("_b.did").alias(det_id), chord_to_angle(F.col("_b.d2")).alias("sep"), "_a.*", "_b.row.*")
+    pairs = near.select("a.EXPNUM", F.col("b.id").alias(ref_id), "b._hpx", "b._ref", F.struct(d2.alias("d2"), F.col("a.id").alias("did"), F.col("a._row").alias("row")).alias("_near"))
+    cones = disc_pixels(exposures.select("EXPNUM", "TELRA", "TELDEC"), nside, "TELRA", "TELDEC", cone_deg, inclusive=True, name="_hpx")
+    seen = pairs.join(cones.select("EXPNUM", "_hpx").distinct(), ["EXPNUM", "_hpx"], "left_semi")
+    best = seen.groupBy("EXPNUM", ref_id).agg(F.min("_near").alias("_b"), F.first("_ref").alias("_a"))
+    return best.select("EXPNUM", ref_id, F.col("_b.did").alias(det_id), chord_to_angle(F.col("_b.d2")).alias("sep"), "_a.*", "_b.row.*")
 
 
 def add_standard_mag(
@@ -92,18 +89,49 @@ def compare_transforms(df: DataFrame, tables: Mapping, coefficients: str | Mappi
     return both.withColumn("MAG_DELTA", F.col("MAG_LINEAR") - F.col("MAG_INTERP"))
 
 
+def clip_limits(df: DataFrame, keys: Sequence[str], value: str, sigmas: float = SIGMAS, removals: int = REMOVALS) -> DataFrame:
+    """Written table of each group's mean and sample deviation before each removal: ``_m0, _s0, _m1, _s1, ...``
+
+    Counts, means and squared deviations merge, so they come from partial sums, and what a removal takes away is summed
+    over the removed rows alone and subtracted. ``df`` is read once for each removal and should be a written table.
+    """
+    v = F.col(value).cast("double")
+    moments = lambda n, m, q: (F.count(v).alias(n), F.avg(v).alias(m), (F.var_pop(v) * F.count(v)).alias(q))
+    deviation = F.when(F.col("_n") > 1, F.sqrt(F.col("_q") / (F.col("_n") - 1)))
+    now = materialize(df.groupBy(*keys).agg(*moments("_n", "_m0", "_q")).withColumn("_s0", deviation), "moments")
+    for k in range(1, removals):
+        gone = df.join(now, list(keys)).where(outlying(value, k, sigmas) & ~outlying(value, k - 1, sigmas)).groupBy(*keys).agg(*moments("_r", "_a", "_b"))
+        n, r, m = F.col("_n"), F.coalesce("_r", F.lit(0)), F.col(f"_m{k - 1}")
+        both = now.join(gone, list(keys), "left").withColumn(f"_m{k}", F.when(r == 0, m).otherwise(F.try_divide(n * m - r * F.col("_a"), n - r)))
+        left = F.col("_q") - F.col("_b") - F.pow(F.col("_a") - F.col(f"_m{k}"), 2) * (n - r) * r / n
+        both = both.withColumns({"_q": F.when(r == 0, F.col("_q")).otherwise(F.greatest(left, F.lit(0.0))), "_n": n - r})
+        last, now = now, materialize(both.withColumn(f"_s{k}", deviation).drop("_r", "_a", "_b"), "moments")
+        discard(last)
+    return now.drop("_n", "_q")
+
+
+def outlying(value: str, removals: int, sigmas: float) -> Column:
+    """Whether one of the removals takes the row, given the columns of :func:`clip_limits`; unknown deviations take none.
+
+    A distance from the mean that is rounding alone, as among equal values, takes no row either.
+    """
+    far = F.lit(False)
+    for k in range(removals):
+        apart = F.abs(F.col(value) - F.col(f"_m{k}"))
+        beyond = (apart > sigmas * F.col(f"_s{k}")) & (apart > ROUNDING * F.abs(f"_m{k}")) & ~F.isnan(f"_s{k}")
+        far = far | F.coalesce(beyond, F.lit(False))
+    return far
+
+
 def clip_groups(df: DataFrame, keys: Sequence[str], value: str, sigmas: float = SIGMAS, removals: int = REMOVALS) -> DataFrame:
     """Removes rows further than ``sigmas`` sample deviations from their group mean, ``removals`` times.
 
-    Means come from a partial aggregation joined back, so a hot group is never gathered. A group of one has no
-    deviation and is kept.
+    A group of one has no deviation and is kept. A row whose key is null belongs to no group and goes.
     """
-    out = df
-    for _ in range(removals):
-        stats = out.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"))
-        far = F.abs(F.col(value) - F.col("_mean")) > sigmas * F.col("_std")
-        out = out.join(stats, list(keys)).where(~F.coalesce(far & ~F.isnan("_std"), F.lit(False))).drop("_mean", "_std")
-    return out
+    if not removals:
+        return df
+    limits = clip_limits(df, keys, value, sigmas, removals)
+    return df.join(limits, list(keys)).where(~outlying(value, removals, sigmas)).select(*df.columns)
 
 
 def zeropoint_statistics(df: DataFrame, keys: Sequence[str], value: str = "MAG_DIFF") -> DataFrame:
@@ -116,33 +144,52 @@ def zeropoint_statistics(df: DataFrame, keys: Sequence[str], value: str = "MAG_D
     return exact_percentiles(df, keys, {"MAG_ZERO_MEDIAN": (value, 0.5)}, extra=extra)
 
 
-def calibration_differences(df: DataFrame, scope: Sequence[str] = ("EXPNUM",)) -> DataFrame:
-    """Usable rows with ``MAG_DIFF``, kept within 5 mag of the median of their scope (one exposure)."""
-    obs = df.where(F.col("STD_OK")).where(calibration_star("MAG_STD"))
-    obs = obs.withColumn("MAG_DIFF", F.col("MAG_STD") + 2.5 * F.log10(F.col("FLUX_PSF").cast("double")))
+def calibration_differences(df: DataFrame, scope: Sequence[str] = ("EXPNUM",), keep: Sequence[str] = ("EXPNUM", "CCDNUM")) -> DataFrame:
+    """Written ``keep`` columns and ``MAG_DIFF`` of usable rows, kept within 5 mag of the median of their scope (one exposure)."""
+    usable = df.where(F.col("STD_OK")).where(calibration_star("MAG_STD"))
+    narrow = usable.select(*dict.fromkeys([*scope, *keep]), (F.col("MAG_STD") + 2.5 * F.log10(F.col("FLUX_PSF").cast("double"))).alias("MAG_DIFF"))
+    obs = materialize(narrow, "differences")
     centre = exact_percentiles(obs, list(scope), {"_centre": ("MAG_DIFF", 0.5)})
     near = inside(F.col("MAG_DIFF") - F.col("_centre"), -HALF_WINDOW, HALF_WINDOW)
-    return obs.join(centre, list(scope)).where(near).drop("_centre")
+    kept = materialize(obs.join(centre, list(scope)).where(near).drop("_centre"), "differences")
+    discard(obs)
+    return kept
+
+
+#: What zeropoints need of a detection and of a reference row, where it is there.
+DETECTION_COLUMNS = ("EXPNUM", "CCDNUM", "BAND", "EXPTIME", "FILENAME", "T_EFF", "RA", "DEC", "FLUX_PSF", "FLUXERR_PSF", "FLAGS", "SPREAD_MODEL")
+REFERENCE_COLUMNS = ("RA", "DEC", "G", "R", "I", "Z", "DG", "DR", "DI", "DZ")
 
 
 def derive_zeropoints(
     df: DataFrame, coefficients: str | Mapping = "refcat", tables: Mapping | None = None, transform: str = "linear",
     scope: Sequence[str] = ("EXPNUM",), removals: int = REMOVALS,
 ) -> DataFrame:
-    """Zeropoint statistics per CCD from detections merged with the reference catalog."""
-    obs = calibration_differences(add_standard_mag(df, coefficients, tables, transform), scope)
-    clipped = clip_groups(obs, ["EXPNUM", "CCDNUM"], "MAG_DIFF", removals=removals)
+    """Zeropoint statistics per CCD from detections merged with the reference catalog.
+
+    The differences are written once as a narrow table; clipping and statistics read only that.
+    """
     keys = ["EXPNUM", "CCDNUM", "BAND", "EXPTIME"] + [c for c in ("FILENAME", "T_EFF") if c in df.columns]
-    return zeropoint_statistics(clipped, keys)
+    obs = calibration_differences(add_standard_mag(df, coefficients, tables, transform), scope, keys)
+    return zeropoint_statistics(clip_groups(obs, ["EXPNUM", "CCDNUM"], "MAG_DIFF", removals=removals), keys)
 
 
 def calibrate(
     detections: DataFrame, reference: DataFrame, exposures: DataFrame, det_id: str, ref_id: str, select: Column | None = None,
     coefficients: str | Mapping = "refcat", tables: Mapping | None = None, transform: str = "linear",
+    arcsec: float = MATCH_ARCSEC, cone_deg: float = CONE_DEG, nside: int = 32,
 ) -> DataFrame:
-    """Select, match with the reference inside each exposure's cone, derive zeropoints: all exposures in one job."""
+    """Zeropoints of all exposures in one job, from detections and a reference catalog.
+
+    Selects detections, matches them with the reference rows in the cone of their exposure, transforms the reference
+    magnitudes to the band of each detection, and gives the clipped statistics of each CCD. Only the columns that this
+    needs are read and shuffled. Exposures without usable matches have no rows: see :func:`failed_exposures`.
+    """
     chosen = detections if select is None else detections.where(select)
-    merged = merge_reference_by_exposure(chosen, reference, exposures, det_id, ref_id)
+    narrow = lambda df, key, wanted: df.select(key, *[c for c in wanted if c in df.columns and c != key])
+    merged = merge_reference_by_exposure(
+        narrow(chosen, det_id, DETECTION_COLUMNS), narrow(reference, ref_id, REFERENCE_COLUMNS), exposures, det_id, ref_id, arcsec, cone_deg, nside
+    )
     return derive_zeropoints(merged, coefficients, tables, transform)
 
 

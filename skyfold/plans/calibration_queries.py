@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyfold.operators import calibration, survey, zeropoints
 from skyfold.plans import views
 from skyfold.plans.column_queries import NORTH, ROW_SQL, SOUTH, _interp_sql, _linear_sql, _rows, _sep_sql
-from skyfold.plans.map_queries import _CENTERS
+from skyfold.plans.map_queries import _CENTERS, ring_sql
 from skyfold.plans.shared import as_long, calibrated, rounded
 from skyfold.plans.views import oracle
 
@@ -195,6 +195,47 @@ CALIBRATE_SQL = oracle(
 )
 
 
+def calibrate_whole(spark, sf):
+    """From detections to zeropoints: selection, match in the cones of 90 exposures, transforms, clipped statistics."""
+    det = views.detections(spark, sf).withColumns({"EXPNUM": F.expr(TILE), "CCDNUM": F.expr("1 + CCDNUM % 2")}).drop("TRUE_ID", "FILENAME", "T_EFF")
+    exp = det.select("EXPNUM").distinct().selectExpr("EXPNUM", "floor(EXPNUM/3)*36 + 18e0 AS TELRA", "(EXPNUM % 3)*30 - 45e0 AS TELDEC")
+    good = F.col("FLAGS") < 4
+    out = calibration.calibrate(det, views.reference(spark, sf), exp, "det_id", "OBJID", good, arcsec=0.5, cone_deg=12.0)
+    return as_long(rounded(out), "MAG_ZERO_NUM")
+
+
+# The nearest detection of each reference row in its tile, for rows whose pixel may touch the cone: the pixel's centre is
+# no further than the cone's radius and the largest distance of a centre and a corner.
+_CALIBRATE_MERGED = f"""
+    SELECT * FROM (
+        SELECT r.* EXCLUDE (RA, DEC), d.*, {TILE} AS tile, {_sep_sql('r.RA', 'r.DEC', 'd.RA', 'd.DEC')} AS sep
+        FROM (SELECT *, {ring_sql(32, 'RA', 'DEC')} AS hpx FROM reference_v) r JOIN detections_v d ON d.TRUE_ID = r.OBJID
+        WHERE d.FLAGS < 4
+    ) m
+    WHERE sep*3600 < 5e-1 AND EXISTS (
+        SELECT 1 FROM centers c
+        WHERE c.pix = m.hpx AND {_sep_sql('(floor(m.tile/3)*36 + 18e0)', '((m.tile % 3)*30 - 45e0)', 'c.lon', 'c.lat')} <= 12 + 1.9026018600115095)
+    QUALIFY row_number() OVER (PARTITION BY tile, OBJID ORDER BY sep, l_partkey, l_orderkey, l_linenumber, l_suppkey, l_shipdate) = 1
+"""
+_CALIBRATE_DIFF = f"""
+    SELECT *, median(MAG_DIFF) OVER (PARTITION BY EXPNUM) AS centre FROM (
+        SELECT tile AS EXPNUM, 1 + CCDNUM % 2 AS CCDNUM, BAND, EXPTIME, {_STD} + 25e-1*log10(FLUX_PSF) AS MAG_DIFF
+        FROM ({_CALIBRATE_MERGED})
+        WHERE {_OK} AND {_STD} >= 0 AND {_STD} <= 25 AND FLUX_PSF > 10 AND FLAGS < 2 AND abs(SPREAD_MODEL) < 1e-2
+          AND FLUX_PSF/FLUXERR_PSF > 10)
+"""
+CALIBRATE_WHOLE_SQL = oracle(
+    f"""
+    , centers AS ({_CENTERS})
+    SELECT EXPNUM, CCDNUM, BAND, EXPTIME, round(median(MAG_DIFF), 6) AS MAG_ZERO_MEDIAN, round(avg(MAG_DIFF), 6) AS MAG_ZERO_MEAN,
+           round(stddev_samp(MAG_DIFF), 6) AS MAG_ZERO_STD, round(stddev_samp(MAG_DIFF)/nullif(sqrt(count(*) - 1), 0), 6) AS MAG_ZERO_MEAN_ERR,
+           count(*) AS MAG_ZERO_NUM
+    FROM ({_clip_sql(f"SELECT * FROM ({_CALIBRATE_DIFF}) WHERE abs(MAG_DIFF - centre) < 5", "EXPNUM, CCDNUM", "MAG_DIFF", "3", 2)})
+    GROUP BY EXPNUM, CCDNUM, BAND, EXPTIME
+    """.strip(), "reference_v", "detections_v",
+)
+
+
 def teff_nearest(spark, sf):
     return survey.closest_exposure(views.exposures(spark, sf))
 
@@ -252,6 +293,7 @@ QUERIES = {
     "clipped_groups": (clipped_groups, CLIP_SQL),
     "derive_zeropoints": (derive_zeropoints, DERIVE_SQL),
     "calibrate_exposures": (calibrate_exposures, CALIBRATE_SQL),
+    "calibrate_whole": (calibrate_whole, CALIBRATE_WHOLE_SQL),
     "teff_nearest": (teff_nearest, TEFF_SQL),
     "exposure_mags": (exposure_mags, EXPOSURE_MAGS_SQL),
     "topk_exposures": (topk_exposures, oracle("SELECT EXPNUM, count(*) AS n FROM detections_v GROUP BY EXPNUM ORDER BY n DESC, EXPNUM LIMIT 5", "detections_v")),
