@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyfold.functions.coords import chord, chord_to_angle, unit_vector
 from skyfold.functions.staging import fixed
+from skyfold.operators.curve import neighbour_bounds
 from skyfold.session import discard, materialize
 
 HOT_CELL_ROWS = 20_000
@@ -179,25 +181,17 @@ def nearest_join(
     )
 
 
-def _start_radius(points: DataFrame, group: Sequence[str]) -> float:
-    """Half the mean spacing, from the count and the number of occupied one-degree cells."""
-    cells = with_cell(points, 1.0)
-    size = F.count(F.lit(1)).alias("n")
-    area = F.approx_count_distinct(F.struct(*group, "cell")).alias("cells")
-    row = cells.agg(size, area).first()
-    return 0.5 * math.sqrt(max(row["cells"], 1) / max(row["n"], 1))
+#: Degrees of the finest search; closer pairs are searched at this radius.
+FINEST = 2.0**-24
 
 
-def nearest_other(
-    df: DataFrame, id_col: str, pos=("RA", "DEC"), group: Sequence[str] = (), start_radius: float | None = None,
-    growth: float = 2.0, rows_per_part: int = HOT_CELL_ROWS,
-) -> DataFrame:
+def nearest_other(df: DataFrame, id_col: str, pos=("RA", "DEC"), group: Sequence[str] = ()) -> DataFrame:
     """Nearest other row of each row, without a radius limit, inside each group.
 
-    Columns: group keys, ``id, other_id, sep``. Rows are searched at a radius near the mean spacing; only
-    those that found nothing are searched again at twice the radius, so each pass works on a thinner
-    field. Copies of one position are each other's nearest and never enter the search. A group of one
-    row yields nothing.
+    Columns: group keys, ``id, other_id, sep`` (ties: smallest id). Each row is searched once, at the power of two above
+    a bound of its own distance (:mod:`skyfold.operators.curve`), so a clump is searched finely and an empty field
+    widely, and a search meets a few rows either way. Copies of one position are each other's nearest and never enter
+    the search. A group of one row yields nothing.
     """
     group = list(group)
     points = as_points(df, id_col, *pos, keep=group)
@@ -209,35 +203,21 @@ def nearest_other(
     same_place = members.join(second, [*group, "ra", "dec"]).select(
         *group, "id", F.when(F.col("id") == F.col("first_id"), F.col("second_id")).otherwise(F.col("first_id")).alias("other_id"), F.lit(0.0).alias("sep")
     )
-    field = copies.select(*group, F.col("first_id").alias("id"), "ra", "dec", "x", "y", "z")
-    waiting = copies.where(F.col("n") == 1).select(*group, F.col("first_id").alias("id"), "ra", "dec", "x", "y", "z")
-    # A group with one position has no other row: it must not keep the search going.
-    sizes = copies.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    waiting = waiting.join(sizes.drop("_n"), group, "left_semi") if group else (waiting if sizes.count() else waiting.limit(0))
-    radius = start_radius or _start_radius(copies, group)
-    results = [same_place]
-    written: DataFrame | None = None
-    while True:
-        radius = min(radius, 180.0)
-        a, b, keys = meeting_sides(waiting, field, radius, group, hot_cells(waiting, radius, group, rows_per_part))
+    reach = chord_to_angle(F.least(F.col("bound"), F.lit(4.0))) * (1.0 + 1e-9)
+    level = F.greatest(F.ceil(F.log2(reach / FINEST)), F.lit(0)).cast("int")
+    bounded = neighbour_bounds(copies.select(*group, F.col("first_id").alias("id"), "ra", "dec", "x", "y", "z", "n"), group)
+    field = materialize(bounded.withColumn("level", F.coalesce(level, F.lit(0))).drop("bound"), "field")
+    searches = [same_place]
+    for row in field.where("n = 1").select("level").distinct().orderBy("level").collect():
+        radius = min(FINEST * 2.0 ** row["level"], 180.0)
+        waiting = field.where((F.col("n") == 1) & (F.col("level") == row["level"]))
+        a, b, keys = meeting_sides(field, waiting, radius, group)
         d2 = chord2("a", "b")
-        whole_sky = radius >= 180.0
-        close = F.lit(True) if whole_sky else (d2 <= chord(radius) ** 2)
+        close = F.lit(True) if radius >= 180.0 else (d2 <= chord(radius) ** 2)
         near = a.alias("a").join(b.alias("b"), _on(keys, "a", "b") & (F.col("a.id") != F.col("b.id")) & close)
-        found = near.groupBy(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.id").alias("id")).agg(
-            F.min(F.struct(d2.alias("d2"), F.col("b.id").alias("oid"))).alias("best")
-        )
-        found = materialize(
-            found.select(*group, "id", F.col("best.oid").alias("other_id"), chord_to_angle(F.col("best.d2")).alias("sep")), "nearest"
-        )
-        results.append(found)
-        waiting = materialize(waiting.join(found.select(*group, "id"), [*group, "id"], "left_anti"), "waiting")
-        discard(written)
-        written = waiting
-        if whole_sky or waiting.isEmpty():
-            break
-        radius *= growth
-    out = results[0]
-    for part in results[1:]:
-        out = out.unionByName(part)
+        found = near.groupBy(*[F.col(f"b.{k}").alias(k) for k in group], F.col("b.id").alias("id")).agg(F.min(F.struct(d2.alias("d2"), F.col("a.id").alias("oid"))).alias("best"))
+        searches.append(found.select(*group, "id", F.col("best.oid").alias("other_id"), chord_to_angle(F.col("best.d2")).alias("sep")))
+    out = materialize(reduce(DataFrame.unionByName, searches), "nearest")
+    discard(copies)
+    discard(field)
     return out

@@ -174,3 +174,21 @@ def test_match_objects_ids(spark):
         seq = sorted(set(g.QUICK_OBJECT_ID - 10**13 - pix * 10**8))
         assert seq == list(range(len(seq)))
     assert F.col is not None
+
+
+def test_nearest_other_in_a_clump_and_an_empty_field(spark):
+    """A clump within one mean spacing of the field around it, near RA 0 and near a pole."""
+    rng = np.random.default_rng(4)
+    clump = np.stack([(359.95 + 0.1 * rng.random(1500)) % 360, 20 + 0.1 * rng.random(1500)], 1)
+    polar = np.stack([360 * rng.random(400), 89.9 + 0.1 * rng.random(400)], 1)
+    field = np.stack([360 * rng.random(200), np.degrees(np.arcsin(2 * rng.random(200) - 1))], 1)
+    pos = np.concatenate([clump, polar, field])
+    lon, lat = np.radians(pos[:, 0]), np.radians(pos[:, 1])
+    xyz = np.stack([np.cos(lon) * np.cos(lat), np.sin(lon) * np.cos(lat), np.sin(lat)], 1)
+    d2 = ((xyz[:, None] - xyz[None]) ** 2).sum(2)
+    np.fill_diagonal(d2, np.inf)
+    df = spark.createDataFrame([(i, float(r), float(d)) for i, (r, d) in enumerate(pos)], "id long, RA double, DEC double").repartition(8)
+    got = {r.id: (r.other_id, r.sep) for r in spatial.nearest_other(df, "id").collect()}
+    assert len(got) == len(pos)
+    for i, (other, sep) in got.items():
+        assert other == d2[i].argmin() and sep == pytest.approx(np.degrees(2 * np.arcsin(np.sqrt(d2[i].min()) / 2)), abs=1e-9)
