@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from skyfold.session import materialize
 
+ID_BASE = 10**13
+ID_PER_PIXEL = 10**8
+
+
+def object_id(pixel: Column, sequence: Column) -> Column:
+    """Catalog-wide id of the n-th object of a shard pixel; a pixel with more than ``ID_PER_PIXEL`` objects raises."""
+    number = sequence.cast("long")
+    full = F.raise_error(F.lit("more objects in a pixel than ids")).cast("long")
+    return F.lit(ID_BASE) + pixel.cast("long") * ID_PER_PIXEL + F.when(number < ID_PER_PIXEL, number).otherwise(full)
+
+
+def sequence_id(pixel: Column, candidate: Column) -> Column:
+    """``candidate``, an id made by adding to one of ``pixel``, unless it runs into the next pixel's ids: that raises."""
+    return object_id(pixel, candidate - F.lit(ID_BASE) - pixel.cast("long") * ID_PER_PIXEL)
+
 
 def dense_ids(df: DataFrame, keys: Sequence[str], name: str, start: int = 0) -> DataFrame:
     """Adds ``name``: the rank of the row's key among the distinct keys, counting from ``start``.

@@ -443,6 +443,43 @@ MASK_SQL = oracle(
     "AND a.ypix = floor((DEC + 60)/3) LEFT JOIN raster b ON b.tile = 'T1' AND b.xpix = floor(RA/4) AND b.ypix = floor((DEC + 60)/3) GROUP BY 1, 2", "detections_v",
 )
 
+TILES = {"tile": "s_suppkey", "ra0": views.BASE_RA.format(k="s_suppkey"), "dec0": views.BASE_DEC.format(k="s_suppkey"), "scale": "5e-1", "x0": "525e-2", "y0": "475e-2",
+         "xmin": "5e-1", "xmax": "95e-1", "ymin": "1e0", "ymax": "9e0"}
+RASTER = {"tile": "1 + c_custkey % 10", "xpix": "cast(floor(c_custkey/10) % 10 as int)", "ypix": "cast(floor(c_custkey/100) % 10 as int)", "value": "cast(pow(2, c_custkey % 12) as int)"}
+
+
+def mask_tiles(spark, sf):
+    """Mask bits from positions alone: covering tiles by sky cells, tangent plane, raster."""
+    tiles = views.table(spark, sf, "supplier").selectExpr(*[f"{e} AS {n}" for n, e in TILES.items()])
+    raster = views.table(spark, sf, "customer").selectExpr(*[f"{e} AS {n}" for n, e in RASTER.items()]).groupBy("tile", "xpix", "ypix").agg(F.bit_or("value").alias("value"))
+    df = views.detections(spark, sf)
+    out = masks.mask_values(df, raster, masks.tile_coordinates(df, tiles, "det_id"), "det_id")
+    return out.groupBy("TRUE_ID", F.col("mask").cast("long").alias("mask")).agg(F.count(F.lit(1)).alias("n"))
+
+
+MASK_TILES_SQL = oracle(
+    f"""
+    , tiles AS (SELECT {", ".join(f"{e} AS {n}" for n, e in TILES.items())} FROM supplier
+    ), raster AS (
+        SELECT tile, xpix, ypix, bit_or(value) AS value FROM (SELECT {", ".join(f"{e} AS {n}" for n, e in RASTER.items())} FROM customer) GROUP BY ALL
+    ), d AS (
+        SELECT *, row_number() OVER () AS id, radians(RA) AS r, radians(DEC) AS p FROM detections_v
+    ), plane AS (
+        SELECT id, tile, scale, x0, y0, xmin, xmax, ymin, ymax, cos(p)*sin(r - radians(ra0)) AS a,
+               cos(radians(dec0))*sin(p) - sin(radians(dec0))*cos(p)*cos(r - radians(ra0)) AS b,
+               sin(radians(dec0))*sin(p) + cos(radians(dec0))*cos(p)*cos(r - radians(ra0)) AS c
+        FROM d JOIN tiles ON abs(DEC - dec0) < 15
+    ), placed AS (
+        SELECT id, tile, x0 - degrees(a/c)/scale AS x, y0 + degrees(b/c)/scale AS y, xmin, xmax, ymin, ymax FROM plane WHERE c > 0
+    ), hits AS (
+        SELECT id, bit_or(coalesce(value, 0)) AS bits
+        FROM placed LEFT JOIN raster ON raster.tile = placed.tile AND xpix = CAST(floor(x) AS INT) AND ypix = CAST(floor(y) AS INT)
+        WHERE x > xmin AND x < xmax AND y > ymin AND y < ymax GROUP BY id
+    )
+    SELECT TRUE_ID, CAST(coalesce(bits, 8192) AS BIGINT) AS mask, count(*) AS n FROM d LEFT JOIN hits USING (id) GROUP BY 1, 2
+    """, "detections_v",
+)
+
 QUERIES = {
     "healpix_index": (healpix_index, HEALPIX_SQL),
     "healpix_nested": (healpix_nested, NESTED_SQL),
@@ -466,4 +503,5 @@ QUERIES = {
     "colour_locus": (colour_locus, LOCUS_SQL),
     "release_residuals": (release_residuals, RESIDUAL_SQL),
     "mask_lookup": (mask_lookup, MASK_SQL),
+    "mask_tiles": (mask_tiles, MASK_TILES_SQL),
 }

@@ -139,8 +139,30 @@ REQUIRED_SQL = oracle(
     "detections_v", "reference_v",
 )
 
+def pixel_files(spark, sf):
+    """Detections in files named after declination strips: pixels of the files, rows of all, rows of the wanted ones."""
+    folder = new_path(spark, "pixel-files")
+    strip = F.expr(f"CAST(floor(({views.BASE_DEC.format(k='TRUE_ID')} + 90)/10) AS INT)")
+    io.write_pixel_files(views.detections(spark, sf).select("TRUE_ID", "FLUX_PSF", strip.alias("HPX")), folder, "HPX")
+    names = io.source_pixels(spark.read.parquet(folder)).groupBy("pixel").agg(F.count(F.lit(1)).alias("files"))
+    rows = io.scan_pixels(spark, folder).groupBy("pixel").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("TRUE_ID").alias("n_objects"))
+    wanted = names.where("pixel % 3 = 0")
+    held = io.scan_pixels(spark, folder, wanted).groupBy("pixel").agg(F.count(F.lit(1)).alias("n_wanted"))
+    out = materialize(names.join(rows, "pixel").join(held, "pixel", "left"), "pixels")
+    remove(spark, folder)
+    return as_long(out.withColumn("n_wanted", F.coalesce("n_wanted", F.lit(0))).withColumn("files", F.col("files") > 0), "pixel")
+
+
+PIXEL_FILES_SQL = oracle(
+    f"""
+    SELECT pixel, true AS files, count(*) AS n, count(DISTINCT TRUE_ID) AS n_objects, CASE WHEN pixel % 3 = 0 THEN count(*) ELSE 0 END AS n_wanted
+    FROM (SELECT TRUE_ID, CAST(floor(({views.BASE_DEC.format(k='TRUE_ID')} + 90)/10) AS BIGINT) AS pixel FROM detections_v) GROUP BY pixel
+    """, "detections_v",
+)
+
 QUERIES: dict[str, Query] = {
     "ingest_shards": (ingest_shards, INGEST_SQL),
+    "pixel_files": (pixel_files, PIXEL_FILES_SQL),
     "local_cone": (local_cone, CONE_SQL),
     "insert_checked": (insert_checked, INSERT_SQL),
     "sinks_roundtrip": (sinks_roundtrip, SINKS_SQL),

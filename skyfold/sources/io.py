@@ -228,6 +228,40 @@ def source_pixels(df: DataFrame) -> DataFrame:
     return with_source_file(df).select("file").distinct().select(file_pixel(F.col("file")).alias("pixel"), "file")
 
 
+def write_pixel_files(df: DataFrame, path: str, pixel: str, prefix: str = "cat") -> None:
+    """One or more files ``<prefix>_<pixel>.<number>.parquet`` for each pixel, in one folder.
+
+    Tasks write below a temporary folder; the driver only renames finished files, one for each pixel at least.
+    """
+    spark, staged = df.sparkSession, f"{path}/_staged"
+    df.repartition(pixel).write.partitionBy(pixel).mode("errorifexists").parquet(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in store.listStatus(hadoop.Path(staged)):
+        if folder.isDirectory():
+            number = int(folder.getPath().getName().split("=")[1])
+            parts = sorted(f.getPath().getName() for f in store.listStatus(folder.getPath()))
+            for k, name in enumerate(n for n in parts if n.endswith(".parquet")):
+                if not store.rename(hadoop.Path(folder.getPath(), name), hadoop.Path(f"{path}/{prefix}_{number:05d}.{k}.parquet")):
+                    raise OSError(f"could not rename {name} of pixel {number}")
+    store.delete(hadoop.Path(staged), True)
+
+
+def scan_pixels(spark: SparkSession, path: str, wanted: DataFrame | Sequence[int] | None = None, name: str = "pixel", schema: T.StructType | None = None) -> DataFrame:
+    """Files named after pixels, with the pixel as a column; only files of ``wanted`` pixels are opened.
+
+    ``wanted`` is a list or a table whose first column is the pixel, of at most as many values as the sky has pixels.
+    The predicate is on the file's name, which the scan knows before it reads, so other files leave the file list. With
+    ``schema``, not even a footer of another file is read.
+    """
+    pixel = file_pixel(F.col("_metadata.file_name"))
+    files = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    if wanted is not None:
+        chosen = [r[0] for r in wanted.select(wanted.columns[0]).distinct().collect()] if isinstance(wanted, DataFrame) else list(wanted)
+        files = files.where(pixel.isin(chosen))
+    return files.withColumn(name, pixel)
+
+
 def write_table(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet") -> bool:
     """Writes, or leaves an existing table alone without ``force``. True when it wrote."""
     spark = df.sparkSession

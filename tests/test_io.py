@@ -133,3 +133,21 @@ def test_tolerant_read_lists_what_it_missed(spark, tmp_path):
     assert rows.count() == 5 and [r.path.endswith("bad.parquet") for r in missed.collect()] == [True]
     with pytest.raises(Exception):
         io.read_tolerant(spark, [str(bad)], T.StructType([T.StructField("id", T.LongType())]), tolerate=False)[0].count()
+
+
+def test_pixel_files_are_pruned_by_name(spark, tmp_path):
+    """Files of pixels that are not wanted are never opened: here they are broken."""
+    folder = str(tmp_path / "pixels")
+    df = spark.range(1000).selectExpr("id", "cast(id % 7 as int) AS HPX")
+    io.write_pixel_files(df, folder, "HPX", "obs")
+    files = sorted(p.name for p in (tmp_path / "pixels").iterdir() if p.name.endswith(".parquet"))
+    assert [f[:9] for f in files] == [f"obs_0000{k}" for k in range(7)]
+    assert {r.pixel for r in io.source_pixels(spark.read.parquet(folder)).collect()} == set(range(7))
+    schema = spark.read.parquet(folder).schema
+    for f in files:
+        if f[:9] not in ("obs_00002", "obs_00005"):
+            (tmp_path / "pixels" / f).write_bytes(b"broken")
+    wanted = spark.createDataFrame([(2,), (5,), (2,), (99,)], "hpx int")
+    assert schema.names == ["id"]
+    got = io.scan_pixels(spark, folder, wanted, schema=schema).groupBy("pixel").count().collect()
+    assert {r["pixel"]: r["count"] for r in got} == {2: 143, 5: 143}
