@@ -50,39 +50,36 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
 
 
-def _values(rows: list[tuple]) -> str:
-    quoted = [", ".join("'" + str(x).replace("'", "''") + "'" if isinstance(x, str) else str(x) for x in row) for row in rows]
-    return "VALUES\n    (" + "),\n    (".join(quoted) + ")"
-
-
-OP5_SQL = rf"""
-WITH wordings(no, id, wording) AS ({_values([(k, name, wording) for k, (name, wording) in enumerate(licences.SENTENCES.items())])}
-), rules(no, licence, ids) AS ({_values([(k, licence, " ".join(ids)) for k, (licence, ids) in enumerate(licences.RULES)])}
-), heads AS (
-    SELECT no, id, trim(regexp_replace(lower(regexp_split_to_array(regexp_replace(wording, '[ \t]*\n[ \t]*([a-z])', ' \1', 'g'),
-                                       '[.!?;:][ \t\r\n]+|\n')[1]), '[^a-z0-9]+', ' ', 'g')) AS norm
-    FROM wordings
-), known AS (
-    SELECT norm, arg_min(id, no) AS id FROM heads GROUP BY norm
+# Rows of its own, not those of the scan: the one-line sentences that the tables hold. The verbatim texts of whole licences
+# are in the tests.
+OP5_SQL = r"""
+WITH known(norm, id, licence) AS (VALUES
+    ('released under the mit license', 'mit-name', 'MIT'),
+    ('licensed under the mit license', 'mit-licensed', 'MIT'),
+    ('licensed under the apache license version 2 0', 'apache-name', 'Apache-2.0'),
+    ('this work is licensed under the gnu general public license version 3', 'gpl3-name', 'GPL-3.0'),
+    ('this is free and unencumbered software released into the public domain', 'unlicense', 'Unlicense'),
+    ('licensed under cc by nc 4 0', 'ccbync-name', 'CC-BY-NC-4.0'),
+    ('licensed under cc by 4 0', 'ccby-name', 'CC-BY-4.0'),
+    ('licensed under cc by sa 4 0', 'ccbysa-name', 'CC-BY-SA-4.0'),
+    ('this source code form is subject to the terms of the mozilla public license v 2 0', 'mpl-subject', 'MPL-2.0')
+), rules(no, licence) AS (VALUES
+    (1, 'MIT'), (2, 'Apache-2.0'), (3, 'GPL-3.0'), (4, 'Unlicense'), (5, 'CC-BY-NC-4.0'), (6, 'CC-BY-4.0'), (7, 'CC-BY-SA-4.0'), (8, 'MPL-2.0')
 ), cut AS (
-    SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '[ \t]*\n[ \t]*([a-z])', ' \1', 'g'), '[.!?;:][ \t\r\n]+|\n') AS parts
-    FROM documents
+    SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?][ \t\r\n]+|[;:]|\n') AS parts FROM documents
 ), sentences AS (
     SELECT doc_id, i, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS norm
     FROM (SELECT doc_id, unnest(parts) AS s, generate_subscripts(parts, 1) AS i FROM cut)
 ), lines AS (
-    SELECT doc_id, count(*) AS n_sentences, string_agg(id, ' ' ORDER BY i) AS ids FROM sentences JOIN known USING (norm) GROUP BY doc_id
-), matched AS (
-    SELECT doc_id, licence, min(no) AS no FROM lines JOIN rules ON contains(' ' || lines.ids || ' ', ' ' || rules.ids || ' ') GROUP BY doc_id, licence
-), counted AS (
-    SELECT * FROM matched m
-    WHERE licence <> 'BSD-2-Clause' OR NOT EXISTS (SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.licence = 'BSD-3-Clause')
+    SELECT doc_id, i, id, licence FROM sentences JOIN known USING (norm)
+), named AS (
+    SELECT doc_id, string_agg(licence, ',' ORDER BY no) AS licences FROM (SELECT DISTINCT doc_id, licence FROM lines) JOIN rules USING (licence) GROUP BY doc_id
 ), listed AS (
-    SELECT doc_id, string_agg(licence, ',' ORDER BY no) AS licences FROM counted GROUP BY doc_id
+    SELECT doc_id, count(*) AS n_sentences, string_agg(id, ' ' ORDER BY i) AS ids FROM lines GROUP BY doc_id
 )
 SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(licences, '') AS licences
-FROM documents LEFT JOIN lines USING (doc_id) LEFT JOIN listed USING (doc_id)
-""".replace("\\\\", "\\")
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
