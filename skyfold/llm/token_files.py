@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyfold.llm import simple8b
 from skyfold.llm.common import running_totals, texts
-from skyfold.llm.files import read_folder, write_file
+from skyfold.llm.files import file_sum, read_listed, write_file
 from skyfold.llm.pieces import coder
 from skyfold.session import materialize
 
@@ -30,8 +30,8 @@ SUFFIX = ".s8b"
 BLOCK = 1 << 16
 FILE_IDS = 1 << 22
 END_ID = 1
-MANIFEST = "part int, seq int, name string, n_docs long, n_ids long, n_bytes long"
-_MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
+MANIFEST = "part int, seq int, name string, n_docs long, n_ids long, n_bytes long, file_sum long"
+_MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64()), ("file_sum", pa.int64())])
 
 
 def file_chunks(docs: list[tuple[int | None, bytes]]) -> list[bytes]:
@@ -69,8 +69,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID
 
         def rolled() -> pa.RecordBatch:
             name = f"part-{part:06d}-{seq:06d}{SUFFIX}"
-            size = write_file(folder, name, file_chunks(held))
-            return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "name": name, "n_docs": len(held), "n_ids": n_ids, "n_bytes": size}], _MANIFEST)
+            size, mark = write_file(folder, name, file_chunks(held))
+            return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "name": name, "n_docs": len(held), "n_ids": n_ids, "n_bytes": size, "file_sum": mark}], _MANIFEST)
 
         code = coder(tokenizer)
         for batch in batches:
@@ -91,27 +91,29 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID
 def read_ids(spark: SparkSession, folder: str, manifest: DataFrame, with_ids: bool = False) -> DataFrame:
     """One row per written document: ``doc_id, start, n_tokens, ids_crc32``, and ``ids`` if asked for.
 
-    ``start`` counts the ids of all documents before it, over all files. Files that the manifest lacks are left out.
+    ``start`` counts the ids of all documents before it, over all files. Files that the manifest lacks are left out;
+    a listed file that is missing or differs from what was written raises.
     """
-    fields = [("name", pa.string()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    fields = [("name", pa.string()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("file_sum", pa.int64())]
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("name").to_pylist(), batch.column("content"), strict=True):
-                ids, listed = read_chunks(content.as_py())
+                whole = content.as_py()
+                ids, listed = read_chunks(whole)
                 narrow = ids.astype("<u4")
                 spans = [(a, a + n) for a, n in listed[:, 2:].tolist()]
                 columns = [
                     pa.array([name] * len(listed)), pa.array(listed[:, 0], mask=listed[:, 1] == 1), pa.array(listed[:, 2]), pa.array(listed[:, 3]),
-                    pa.array([zlib.crc32(narrow[a:b].tobytes()) for a, b in spans], pa.int64()),
+                    pa.array([zlib.crc32(narrow[a:b].tobytes()) for a, b in spans], pa.int64()), pa.array([file_sum(whole)] * len(listed), pa.int64()),
                 ]
                 if with_ids:
                     columns.append(pa.array([narrow[a:b].astype(np.int32) for a, b in spans], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    kind = "name string, doc_id long, local long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    found = read_folder(spark, folder, SUFFIX).mapInArrow(read, kind)
+    kind = "name string, doc_id long, local long, n_tokens long, ids_crc32 long, file_sum long" + ", ids array<int>" * with_ids
+    found = read_listed(spark, folder, SUFFIX, manifest, read, kind)
     before = running_totals(manifest.select("part", "seq", "name", "n_ids"), ["part", "seq"], {"before": "n_ids"}, "token-files").select("name", "before")
     placed = found.join(before, "name")
     return placed.select("doc_id", (F.col("local") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)

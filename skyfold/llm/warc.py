@@ -27,25 +27,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyfold.llm.common import running_totals
-from skyfold.llm.files import read_folder, write_file
+from skyfold.llm.files import file_sum, read_listed, write_file
 from skyfold.session import materialize
 
 SUFFIX = ".warc.gz"
 REVISIT_BYTES = 100
 SHARDS, LEAST_SHARD, LARGEST_SHARD = 256, 1 << 20, 1 << 30
 ROLL_BYTES = 16 << 20
+INFLATED_AT_ONCE = 1 << 16
 RECORD_BYTES = 1024
 DATE = datetime(2020, 1, 1, tzinfo=UTC)
 LEVEL = 1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-_MANIFEST = pa.schema([("shard", pa.int64()), ("seq", pa.int32()), ("name", pa.string()), ("records", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string())])
-MANIFEST = "shard long, seq int, name string, records long, n_bytes long, sha256 string"
+_MANIFEST = pa.schema([("shard", pa.int64()), ("seq", pa.int32()), ("name", pa.string()), ("records", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string()), ("file_sum", pa.int64())])
+MANIFEST = "shard long, seq int, name string, records long, n_bytes long, sha256 string, file_sum long"
 _RECORDS = pa.schema([
     ("name", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
-    ("refers_to", pa.int64()), ("payload", pa.binary()),
+    ("refers_to", pa.int64()), ("payload", pa.binary()), ("file_sum", pa.int64()),
 ])
-RECORDS = "name string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+RECORDS = "name string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, file_sum long"
 
 
 def record_id(page_id: int | None) -> str:
@@ -72,15 +73,24 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
     return gzip.compress(head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n", LEVEL, mtime=0)
 
 
+def members(content: bytes) -> Iterator[bytes]:
+    """The inflated gzip members of an archive; each byte is read once."""
+    at, tail = 0, b""
+    while at < len(content) or tail:
+        inflate, parts = zlib.decompressobj(wbits=31), []
+        while not inflate.eof:
+            if not tail:
+                tail, at = content[at : at + INFLATED_AT_ONCE], at + INFLATED_AT_ONCE
+                if not tail:
+                    raise ValueError("archive ends within a record")
+            parts.append(inflate.decompress(tail))
+            tail = inflate.unused_data
+        yield b"".join(parts)
+
+
 def parsed(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of an archive, whose lengths and block digests must hold."""
-    at = 0
-    while at < len(content):
-        inflate = zlib.decompressobj(wbits=31)
-        data = inflate.decompress(memoryview(content)[at:])
-        if not inflate.eof:
-            raise ValueError("archive ends within a record")
-        at = len(content) - len(inflate.unused_data)
+    for data in members(content):
         head, _, rest = data.partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines)
@@ -127,7 +137,8 @@ def shard_bounds(plan: DataFrame, shard_bytes: int | None = None) -> np.ndarray:
 def write_archives(pages: DataFrame, folder: str, shard_bytes: int | None = None, roll_bytes: int = ROLL_BYTES, date: datetime = DATE) -> DataFrame:
     """Writes a record for every row of ``pages(page_id, url, html)`` and returns the stored manifest.
 
-    A null ``html`` or ``url`` counts as empty. Rows without an id come first. Rows that repeat an id are written side
+    A null ``html`` or ``url`` counts as empty. Rows without an id come last, dealt by their digests over as many shards
+    as the others have. Rows that repeat an id are written side
     by side, in the order of their payload digests. A payload over ``roll_bytes`` makes its own file. Other columns are
     ignored; no rows write no file.
     """
@@ -135,12 +146,14 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int | None = None
     bounds = shard_bounds(plan, shard_bytes)
 
     @F.pandas_udf("long")
-    def shard(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(bounds, ids.fillna(0).astype("int64"), side="right")))
+    def placed_by(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, ids.fillna(0).astype("int64"), side="right"))
 
+    nameless = F.lit(len(bounds) + 1) + F.pmod(F.xxhash64("digest"), F.lit(len(bounds) + 1))
+    shard = F.when(F.col("page_id").isNull(), nameless).otherwise(placed_by("page_id")).alias("shard")
     revisits = plan.where("refers_to IS NOT NULL").select("page_id", "digest", "refers_to").distinct()
-    notes = revisits.select(shard("page_id").alias("shard"), "page_id", "digest", F.lit(0).alias("kind"), "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
-    content = _page_rows(pages).select(shard("page_id").alias("shard"), "page_id", F.sha2("payload", 256).alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("refers_to"), "url", "payload")
+    notes = revisits.select(shard, "page_id", "digest", F.lit(0).alias("kind"), "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
+    content = _page_rows(pages).withColumn("digest", F.sha2("payload", 256)).select(shard, "page_id", "digest", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("refers_to"), "url", "payload")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: tuple[int, int] | None = None
@@ -152,8 +165,8 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int | None = None
             whole = hashlib.sha256()
             for r in held:
                 whole.update(r)
-            size = write_file(folder, name, held)
-            return pa.RecordBatch.from_pylist([{"shard": now[0], "seq": now[1], "name": name, "records": len(held), "n_bytes": size, "sha256": whole.hexdigest()}], _MANIFEST)
+            size, mark = write_file(folder, name, held)
+            return pa.RecordBatch.from_pylist([{"shard": now[0], "seq": now[1], "name": name, "records": len(held), "n_bytes": size, "sha256": whole.hexdigest(), "file_sum": mark}], _MANIFEST)
 
         size = 0
         for batch in batches:
@@ -180,21 +193,22 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int | None = None
 def read_archives(spark: SparkSession, folder: str, manifest: DataFrame, with_payload: bool = True) -> DataFrame:
     """One row per record of the files in the manifest, every length and digest verified.
 
-    ``name, page_id, url, payload_bytes, payload_digest, record_type, refers_to`` and ``payload`` (null for revisits,
+    A listed file that is missing or differs from what was written raises. ``name, page_id, url, payload_bytes, payload_digest, record_type, refers_to`` and ``payload`` (null for revisits,
     and everywhere unless ``with_payload``).
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("name").to_pylist(), batch.column("content"), strict=True):
-                rows = []
-                for headers, block in parsed(content.as_py()):
+                rows, whole = [], content.as_py()
+                mark = file_sum(whole)
+                for headers, block in parsed(whole):
                     revisit = headers["WARC-Type"] == "revisit"
                     digest, payload = headers["WARC-Payload-Digest"].removeprefix("sha256:"), block.partition(b"\r\n\r\n")[2]
                     if not revisit and hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"damaged payload in {name}")
                     rows.append({
-                        "name": name, "page_id": page_of(headers["WARC-Record-ID"]), "url": headers["WARC-Target-URI"], "payload_bytes": int(headers["X-Payload-Length"]), "payload_digest": digest,
+                        "name": name, "file_sum": mark, "page_id": page_of(headers["WARC-Record-ID"]), "url": headers["WARC-Target-URI"], "payload_bytes": int(headers["X-Payload-Length"]), "payload_digest": digest,
                         "record_type": headers["WARC-Type"], "refers_to": page_of(headers["WARC-Refers-To"]) if revisit else None, "payload": payload if with_payload and not revisit else None,
                     })
                     if len(rows) >= 256:
@@ -203,5 +217,4 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame, with_pa
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _RECORDS)
 
-    found = read_folder(spark, folder, SUFFIX).mapInArrow(read, RECORDS)
-    return found.join(manifest.select("name"), "name", "left_semi")
+    return read_listed(spark, folder, SUFFIX, manifest, read, RECORDS)

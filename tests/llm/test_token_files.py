@@ -81,3 +81,13 @@ def test_unlisted_files_are_ignored(spark):
     manifest = token_files.write_ids(docs, folder, PATH)
     (token_files.write_file(folder, "part-999999-000000.s8b", token_files.file_chunks([(9, b"\1\0\0\0")])))
     assert [r.doc_id for r in token_files.read_ids(spark, folder, manifest).collect()] == [1]
+
+
+def test_listed_files_must_be_there(spark, tmp_path):
+    folder = tmp_path / "ids"
+    docs = spark.createDataFrame([(i, "some words " * i) for i in range(60)] + [(99, "long " * 200_000)], "doc_id long, text string")
+    manifest = token_files.write_ids(docs, str(folder), public_tokenizers.path("word_bpe_49k.json"), file_ids=200)
+    assert token_files.read_ids(spark, str(folder), manifest).count() == 61
+    sorted(p for p in folder.iterdir() if p.name.endswith(token_files.SUFFIX))[0].unlink()
+    with pytest.raises(Exception, match="missing file"):
+        token_files.read_ids(spark, str(folder), manifest).collect()

@@ -63,3 +63,56 @@ def test_damage_is_found():
         list(warc.parsed(content + content[:-9]))
     with pytest.raises(ValueError):
         list(warc.parsed(gzip.compress(gzip.decompress(content).replace(b"payload\r\n\r\n", b"pAyload\r\n\r\n"))))
+
+
+def test_reading_is_linear():
+    """A file of the size that production rolls at, of many records."""
+    import time
+
+    one = warc.record(1, "u", bytes(range(256)) * 4, None)
+    content = one * ((16 << 20) // len(one))
+    began = time.time()
+    assert sum(1 for _ in warc.parsed(content)) == len(content) // len(one)
+    assert time.time() - began < 20
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.parsed(content[:-9]))
+
+
+def test_payload_beyond_the_roll_size(spark, tmp_path):
+    import random
+
+    big = "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz0123456789", k=300_000))
+    pages = spark.createDataFrame([(i, "u", big + str(i % 2)) for i in range(4)] + [(9, "u", "x"), (None, "u", "y"), (None, "u", big + "0"), (None, None, None)], "page_id long, url string, html string")
+    folder = str(tmp_path / "w")
+    manifest = warc.write_archives(pages, folder, shard_bytes=10**9, roll_bytes=50_000)
+    got = warc.read_archives(spark, folder, manifest).collect()
+    kinds = sorted((r.page_id, r.record_type, r.refers_to) for r in got if r.page_id is not None)
+    assert kinds == [(0, "response", None), (1, "response", None), (2, "revisit", 0), (3, "revisit", 1), (9, "response", None)]
+    assert {(r.record_type, r.refers_to) for r in got if r.page_id is None} == {("response", None), ("revisit", 0)} and len(got) == 8
+    assert manifest.count() >= 3
+
+
+@pytest.mark.parametrize("harm", ["missing", "altered", "cut"])
+def test_listed_files_must_be_there_whole(spark, tmp_path, harm):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 40) for i in range(50)], "page_id long, url string, html string")
+    folder = tmp_path / "w"
+    manifest = warc.write_archives(pages, str(folder), shard_bytes=4000)
+    assert warc.read_archives(spark, str(folder), manifest).count() == 50
+    file = sorted(p for p in folder.iterdir() if p.name.endswith(warc.SUFFIX))[1]
+    other = sorted(p for p in folder.iterdir() if p.name.endswith(warc.SUFFIX))[0]
+    if harm == "missing":
+        file.unlink()
+    else:
+        file.write_bytes(other.read_bytes() if harm == "altered" else file.read_bytes()[:-5])
+    with pytest.raises(Exception, match="missing|damaged|ends within"):
+        warc.read_archives(spark, str(folder), manifest).collect()
+
+
+def test_writing_again_leaves_equal_files_alone(spark, tmp_path):
+    from skyfold.llm.files import write_file
+
+    first = write_file(str(tmp_path), "a", [b"x", b"y"])
+    before = (tmp_path / "a").stat().st_mtime_ns
+    assert write_file(str(tmp_path), "a", [b"xy"]) == first and (tmp_path / "a").stat().st_mtime_ns == before
+    assert write_file(str(tmp_path), "a", [b"z"]) != first and (tmp_path / "a").read_bytes() == b"z"
+    assert not list((tmp_path / "_temporary").iterdir())
