@@ -1,10 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are counted per cell (source, language, topic); the cells' weights are raked in turn to the target share of each
-margin until all margins hold. A document is then sampled with a probability in proportion to the ratio of its cell's
-fitted to its cell's own tokens, at a scale that keeps the wanted share of all tokens in expectation. Nothing is
-repeated, so a cell whose ratio asks for more than it holds is kept whole; ``weight / probability`` of the kept
-rows still has the target margins in expectation. The draw hashes the ``doc_id``, so it is the same on every run and any cluster.
+margin until all margins hold. The ratio of a cell's fitted to its own tokens, times the wanted size, is the expected
+number of copies of each of its documents: the whole part is taken for certain, and the fraction is the calibrated
+probability of one more copy. So the sample itself has the target margins, in expectation and without weights: cells
+that are too large lose documents, and those that are too small repeat them, up to a stated number of epochs. The draw
+hashes the ``doc_id``, so it is the same on every run and any cluster.
 
 Counting adds up by task before the shuffle, so a source with a third of all rows is one row per task. Raking works on
 the table of cells with grouped sums joined back, each sweep ending in a written table; its size follows the number
@@ -23,12 +24,13 @@ from skyfold.session import discard, materialize
 MARGINS = ("source", "lang", "topic")
 #: Exponent of the default targets: 1 keeps the shares as they are, 0 makes all values of a margin equal.
 TEMPER = 0.9
-#: Share of all tokens to keep, in expectation.
-KEEP = 0.9
-SCALE_STEPS, SCALE_ROUNDS = 16, 9
+#: Size of the sample, as a part of all tokens.
+SIZE = 1.0
+#: Copies of a document at most; a cell that asks for more falls short, which :func:`margins` shows.
+EPOCHS = 4
 TOLERANCE = 1e-6
-#: Targets that the cells cannot meet together never settle; raking then ends when sweeps no longer bring them closer.
-SETTLED = 0.99
+#: Targets that the cells cannot meet together settle at a table that sweeps no longer change by more than this.
+SETTLED = 1e-7
 CELLS_IN_A_TASK = 100_000
 DRAWS = 1 << 40
 
@@ -49,7 +51,8 @@ def topic_of(text: Column) -> Column:
 
 def described(docs: DataFrame) -> DataFrame:
     """``doc_id, source, lang, topic, tokens`` of every row, written; null sources and languages are the value ''."""
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("source", "lang")]
+    there = {c.lower() for c in docs.columns}
+    named = [(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in there else F.lit("")).alias(c) for c in ("source", "lang")]
     text = F.col("text")
     return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *named, topic_of(text).alias("topic"), token_count(text).alias("tokens"), F.crc32(F.coalesce(text.cast("string"), F.lit("")).cast("binary")).alias("key")), "described")
 
@@ -79,75 +82,74 @@ def _deviation(cells: DataFrame, targets: DataFrame, margins: Sequence[str]) ->
     return parts.agg(F.max("d")).first()[0] or 0.0
 
 
-def rake(cells: DataFrame, targets: DataFrame, margins: Sequence[str] = MARGINS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (the margins and ``tokens``) with the fitted ``weight``, adding up to the last margin's targets.
+def rake(cells: DataFrame, targets: DataFrame, margins: Sequence[str] = MARGINS, tolerance: float = TOLERANCE, settled: float = SETTLED) -> tuple[DataFrame, float]:
+    """``cells`` (the margins and ``tokens``) with the fitted ``weight``, and the largest gap of a margin that is left.
 
-    Ends when all margins hold within ``tolerance``, or, for targets that contradict each other on the cells there
-    are, when a sweep no longer brings them closer: the last margin then holds and the others nearly. Cells without
-    tokens, and values without a target, have weight 0.
+    Ends when all margins hold within ``tolerance``. Targets that contradict each other on the cells there are never do:
+    raking then ends when a sweep leaves the fitted table as it was, the last margin holds, and the gap tells how far
+    the others are. A fit that is only slow still moves, and goes on. Cells without tokens, and values without a
+    target, have weight 0.
     """
     whole, tasks = cells.agg(F.sum("tokens"), F.ceil(F.count(F.lit(1)) / CELLS_IN_A_TASK)).first()
     now = materialize(cells.withColumn("weight", F.col("tokens") / F.lit(float(max(whole or 0, 1)))), "cells")
     if not whole:
-        return now
-    gap = float("inf")
+        return now, 0.0
     while True:
-        following = now.coalesce(tasks)
+        following = now.coalesce(tasks).withColumn("_before", F.col("weight"))
         for m in margins:
             following = _raked(following, targets, m)
         following = materialize(following, "cells")
         discard(now)
-        now, last = following, gap
+        now = following.drop("_before")
         gap = _deviation(now.coalesce(tasks), targets, margins[:-1])
-        if gap <= tolerance or gap > SETTLED * last:
-            return now
+        moved = following.agg(F.max(F.abs(F.col("weight") - F.col("_before")))).first()[0]
+        if gap <= tolerance or moved <= settled:
+            return now, gap
 
 
-def kept_scale(cells: DataFrame, keep: float) -> float:
-    """Factor ``c`` with sum(tokens * min(1, c * ratio)) = keep * sum(tokens) over ``cells(tokens, ratio)``.
+def mixture(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0, size: float = SIZE, epochs: int = EPOCHS) -> DataFrame:
+    """Every row of ``docs`` with its share: ``doc_id, source, lang, topic, tokens, weight, expected, probability, copies``.
 
-    The sum grows with ``c``; each pass over the cells tries evenly spaced factors and goes on between two of them. If
-    even whole cells hold less than wanted, all cells with a ratio above 0 are whole.
-    """
-    whole, smallest = cells.agg(F.sum("tokens"), F.min(F.when(F.col("ratio") > 0, F.col("ratio")))).first()
-    if not whole or smallest is None:
-        return 1.0
-    low, high = 0.0, 1.0 / smallest
-    for _ in range(SCALE_ROUNDS):
-        tried = [low + (high - low) * k / SCALE_STEPS for k in range(SCALE_STEPS + 1)]
-        sums = cells.agg(*[F.sum(F.col("tokens") * F.least(F.col("ratio") * F.lit(c), F.lit(1.0))).alias(f"s{k}") for k, c in enumerate(tried)]).first()
-        above = [k for k, s in enumerate(sums) if s >= keep * whole]
-        if not above:
-            return high
-        low, high = tried[max(above[0] - 1, 0)], tried[above[0]]
-    return high
-
-
-def mixture(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0, keep: float = KEEP) -> DataFrame:
-    """Every row of ``docs`` with its weight: ``doc_id, source, lang, topic, tokens, weight, probability, sampled``.
-
-    ``weight`` is the row's token share after raking, ``probability`` that of keeping it. ``targets(margin, value,
-    share)`` default to tempered shares. Rows without tokens have weight 0 and are kept: they change no margin. Rows
-    that repeat a ``doc_id`` are drawn together; rows without one are drawn by their text. No rows give no rows.
+    ``weight`` is the row's token share after raking, ``expected`` the number of copies that gives it that share in a
+    sample of ``size`` times all tokens, ``probability`` its fraction and ``copies`` what was drawn. ``targets(margin,
+    value, share)`` default to tempered shares. A table without ``source`` or ``lang`` has the value '' there. Rows without
+    tokens have weight 0 and one copy: they change no margin. Rows that repeat a ``doc_id`` are drawn together; rows
+    without one are drawn by their text. No rows give no rows.
     """
     rows = described(docs)
     cells = materialize(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
     wanted = materialize(tempered_targets(cells) if targets is None else targets, "targets")
-    fitted = rake(cells.where("tokens > 0"), wanted)
-    whole = cells.agg(F.sum("tokens")).first()[0] or 1
-    ratio = fitted.withColumn("ratio", F.col("weight") * F.lit(float(whole)) / F.col("tokens")).select(*MARGINS, "ratio")
-    scale = kept_scale(fitted.withColumn("ratio", F.col("weight") * F.lit(float(whole)) / F.col("tokens")), keep)
+    fitted, _ = rake(cells.where("tokens > 0"), wanted)
+    whole = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    ratio = fitted.select(*MARGINS, (F.col("weight") * F.lit(whole) / F.col("tokens")).alias("ratio"))
     joined = rows.join(ratio, list(MARGINS), "left").withColumn("ratio", F.coalesce("ratio", F.lit(0.0)))
-    probability = F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(F.least(F.col("ratio") * F.lit(scale), F.lit(1.0)))
+    expected = F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(F.least(F.col("ratio") * F.lit(float(size)), F.lit(float(epochs))))
+    placed = joined.withColumns({"weight": F.col("tokens") * F.col("ratio") / F.lit(whole), "expected": expected})
     drawn = F.pmod(F.xxhash64(F.coalesce("doc_id", "key"), F.lit(seed)), F.lit(DRAWS)) / F.lit(float(DRAWS))
-    kept = joined.withColumns({"weight": F.col("tokens") * F.col("ratio") / F.lit(float(whole)), "probability": probability})
-    return kept.withColumn("sampled", drawn < F.col("probability")).select("doc_id", *MARGINS, "tokens", "weight", "probability", "sampled", "key")
+    fraction = placed.withColumn("probability", F.col("expected") - F.floor("expected"))
+    copies = (F.floor("expected") + (drawn < F.col("probability")).cast("long")).cast("int")
+    return fraction.withColumn("copies", copies).select("doc_id", *MARGINS, "tokens", "weight", "expected", "probability", "copies", "key")
+
 
+def margins(mixed: DataFrame) -> DataFrame:
+    """``(margin, value, corpus, target, expected, reached)``: token shares before, wanted, in expectation and drawn.
 
-def sampled_documents(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0, keep: float = KEEP) -> DataFrame:
-    """Rows of ``docs`` that the mixture keeps, with their columns as they are."""
-    own, mark = fresh(docs, "_own_id"), fresh(docs, "_text_mark")
-    dropped = mixture(docs, targets, seed, keep).where("NOT sampled").select(F.col("doc_id").alias(f"{own}2"), F.col("key").alias(f"{mark}2"))
+    ``target`` is what raking reached. ``mixed`` comes from :func:`mixture` and should be a written table.
+    """
+    tokens = F.col("tokens").cast("double")
+    sums = [F.sum(tokens).alias("corpus"), F.sum("weight").alias("target"), F.sum(tokens * F.col("expected")).alias("expected"), F.sum(tokens * F.col("copies")).alias("reached")]
+    parts = [mixed.groupBy(F.lit(m).alias("margin"), F.col(m).alias("value")).agg(*sums) for m in MARGINS]
+    whole = mixed.agg(*sums).withColumnsRenamed({c: f"_{c}" for c in ("corpus", "target", "expected", "reached")})
+    joined = parts[0].unionByName(parts[1]).unionByName(parts[2]).join(whole, F.lit(True))
+    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.col(f"_{c}")), F.lit(0.0)).alias(c)
+    return joined.select("margin", "value", share("corpus"), share("target"), share("expected"), share("reached"))
+
+
+def sampled_documents(docs: DataFrame, targets: DataFrame | None = None, seed: int = 0, size: float = SIZE, epochs: int = EPOCHS) -> DataFrame:
+    """The sample: rows of ``docs`` as often as the mixture takes them, with their columns as they are."""
+    own, mark, times = fresh(docs, "_own_id"), fresh(docs, "_text_mark"), fresh(docs, "_copies")
+    changed = mixture(docs, targets, seed, size, epochs).where("copies <> 1").select(F.col("doc_id").alias(f"{own}2"), F.col("key").alias(f"{mark}2"), F.col("copies").alias(times)).distinct()
     marked = docs.withColumns({own: F.col("doc_id").cast("long"), mark: F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))})
     met = F.col(own).eqNullSafe(F.col(f"{own}2")) & (F.col(mark) == F.col(f"{mark}2"))
-    return marked.join(dropped, met, "left_anti").select(*docs.columns)
+    counted = marked.join(changed, met, "left").withColumn(times, F.coalesce(F.col(times), F.lit(1)))
+    return counted.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col(times))).alias(own)).select(*docs.columns)
