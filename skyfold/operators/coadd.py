@@ -19,7 +19,7 @@ from skyfold.functions.selections import band_count, good_object
 from skyfold.operators.maps import interpolate_map
 from skyfold.operators.quantiles import exact_percentiles
 from skyfold.schema import (
-    BAD_MAG, BANDS, BEST_COLUMNS, HPX_NSIDE, MIN_BANDS, OBJECT_ID, UNIQUE_ID, apply_catalog_schema, band_column, band_columns,
+    BAD_MAG, BANDS, BEST_COLUMNS, HPX_NSIDE, MIN_BANDS, OBJECT_ID, UNIQUE_ID, apply_catalog_schema, band_column, band_columns, checked_catalog,
 )
 
 
@@ -202,5 +202,5 @@ def build_catalog(
     catalog = apply_catalog_schema(catalog, bands)
     if ebv_map is not None:
         catalog = add_extinction(catalog, bands, ebv_map, ebv_nside)
-    catalog = apply_catalog_schema(add_extended_class(catalog, bands), bands)
+    catalog = checked_catalog(add_extended_class(catalog, bands), bands)
     return quality_cuts(catalog, keys, bands, min_bands)

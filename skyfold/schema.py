@@ -108,6 +108,33 @@ def apply_catalog_schema(df: DataFrame, bands: Iterable[str] = BANDS) -> DataFra
     return df.select(*[typed_default(df, *entry) for entry in catalog_schema(bands)])
 
 
+def catalog_struct(bands: Iterable[str] = BANDS) -> T.StructType:
+    """The object catalog as a schema: order, types, and no column that may be null."""
+    return T.StructType([T.StructField(name, kind, False) for name, kind, _ in catalog_schema(bands)])
+
+
+def checked_catalog(df: DataFrame, bands: Iterable[str] = BANDS, required: Iterable[str] = (OBJECT_ID, "RA", "DEC")) -> DataFrame:
+    """``df`` in the catalog's schema, checked when the plan is made.
+
+    Absent columns get their default and nulls theirs, so the result has the order, types and nullability of
+    :func:`catalog_struct`. A missing required column, a name that is there twice and a column whose type cannot be
+    cast raise at once; numbers that their type does not hold raise when they are written.
+    """
+    bands = list(bands)
+    require_columns(df, required)
+    names = [n.lower() for n in df.columns]
+    if twice := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"columns listed twice: {twice}")
+    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    kinds = dict(df.dtypes)
+    if odd := [n for n, _, _ in catalog_schema(bands) if n in kinds and kinds[n] not in numbers and not kinds[n].startswith("decimal")]:
+        raise ValueError(f"columns that are no numbers: {odd}")
+    out = apply_catalog_schema(df, bands)
+    if [(f.name, f.dataType) for f in out.schema] != [(f.name, f.dataType) for f in catalog_struct(bands)] or any(f.nullable for f in out.schema):
+        raise ValueError("the catalog differs from its schema")
+    return out
+
+
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

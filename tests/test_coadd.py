@@ -115,3 +115,19 @@ def test_classes_and_bands(spark):
         extinction(F.col("s"), "q")
     with pytest.raises(ValueError):
         linear_transform("u")
+
+
+def test_catalog_schema_is_checked_when_the_plan_is_made(spark):
+    from skyfold import schema
+
+    df = spark.createDataFrame([(1, 10.0, 20.0, None, 3), (2, 11.0, None, 17.5, None)], "QUICK_OBJECT_ID long, RA double, DEC double, MAG_PSF_G double, NEPOCHS_G int")
+    out = schema.checked_catalog(df)
+    assert out.schema == schema.catalog_struct() and len(out.columns) == 146
+    rows = {r.QUICK_OBJECT_ID: r for r in out.collect()}
+    assert rows[1].MAG_PSF_G == 99.0 and rows[2].NEPOCHS_G == 0 and math.isnan(rows[2].DEC) and rows[1].EXTENDED_CLASS_Y == -9
+    with pytest.raises(ValueError, match="missing columns"):
+        schema.checked_catalog(df.drop("RA"))
+    with pytest.raises(ValueError, match="listed twice"):
+        schema.checked_catalog(df.withColumn("x", F.lit(1)).select("*", F.col("x").alias("X")))
+    with pytest.raises(ValueError, match="no numbers"):
+        schema.checked_catalog(df.withColumn("MAG_PSF_G", F.array("MAG_PSF_G")))
