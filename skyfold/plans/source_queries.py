@@ -139,6 +139,24 @@ REQUIRED_SQL = oracle(
     "detections_v", "reference_v",
 )
 
+def shard_batches(spark, sf):
+    """Two batches appended to the shards, the first of them again with fewer rows and once more as it was."""
+    folder = new_path(spark, "batches")
+    det = materialize(views.detections(spark, sf).select("EXPNUM", "BAND", "RA", "DEC", "FLUX_PSF"), "detections")
+    even, odd = det.where("EXPNUM % 2 = 0"), det.where("EXPNUM % 2 = 1")
+    for batch, rows in ((0, even), (1, odd), (0, even.where("BAND = 'g'")), (0, even)):
+        io.append_batch(rows, folder, batch, nside=1, rows_per_file=5000)
+    stored = io.read_batches(spark, folder)
+    out = materialize(stored.groupBy("BATCH", "BAND", "HPX").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("FLUX_PSF"), 2).alias("flux")), "counts")
+    remove(spark, folder)
+    return as_long(out, "BATCH", "HPX")
+
+
+SHARD_BATCHES_SQL = oracle(
+    f"SELECT EXPNUM % 2 AS BATCH, BAND, CAST({ring_sql(1)} AS BIGINT) AS HPX, count(*) AS n, round(sum(FLUX_PSF), 2) AS flux FROM detections_v GROUP BY ALL", "detections_v"
+)
+
+
 def pixel_files(spark, sf):
     """Detections in files named after declination strips: pixels of the files, rows of all, rows of the wanted ones."""
     folder = new_path(spark, "pixel-files")
@@ -162,6 +180,7 @@ PIXEL_FILES_SQL = oracle(
 
 QUERIES: dict[str, Query] = {
     "ingest_shards": (ingest_shards, INGEST_SQL),
+    "shard_batches": (shard_batches, SHARD_BATCHES_SQL),
     "pixel_files": (pixel_files, PIXEL_FILES_SQL),
     "local_cone": (local_cone, CONE_SQL),
     "insert_checked": (insert_checked, INSERT_SQL),

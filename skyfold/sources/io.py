@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -123,18 +124,45 @@ def read_tolerant(spark: SparkSession, paths: Sequence[str] | str, schema: T.Str
 def write_shards(df: DataFrame, path: str, nside: int, nest: bool = False, force: bool = False, append: bool = False, rows_per_file: int = 5_000_000, by_band: bool = True) -> None:
     """One folder per band and pixel, sorted by position inside.
 
-    A pixel with more than ``rows_per_file`` rows is dealt over as many tasks as it needs files, by declination.
+    A pixel with more than ``rows_per_file`` rows is dealt over as many tasks as it needs files, by a hash of the
+    position, so a cluster of sources spreads as well. ``df`` is read twice, once for the sizes.
     """
     sharded = with_pixel(df, nside, nest=nest, name="HPX").withColumns({"NSIDE": F.lit(nside), "ORDERING": F.lit("NEST" if nest else "RING")})
     keys = ["BAND", "HPX"] if by_band and "BAND" in df.columns else ["HPX"]
     sizes = sharded.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
-    bucket = F.pmod(F.floor(F.col("DEC") * 3600.0 / 60.0), F.col("_files"))
+    bucket = F.pmod(F.xxhash64("RA", "DEC"), F.col("_files"))
     sized = sharded.join(sizes, keys).withColumn("_bucket", bucket)
     layout = sized.repartition(*keys, "_bucket").sortWithinPartitions(*keys, "_bucket", "DEC", "RA").drop("_files", "_bucket")
     mode = "append" if append else ("overwrite" if force else "errorifexists")
     layout.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).mode(mode).parquet(path)
 
 
+def append_batch(df: DataFrame, path: str, batch: int, nside: int, nest: bool = False, rows_per_file: int = 5_000_000, by_band: bool = True) -> None:
+    """Adds a batch of rows to the shards in ``path``; the same batch again replaces itself.
+
+    The batch is written whole below a staging folder, whose name readers ignore, and only then moved to
+    ``BATCH=<batch>``. A retry after a failure at any point ends with one copy of it; other batches are never touched.
+    """
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    staged, final = hadoop.Path(f"{path}/_staged/{batch}-{uuid.uuid4().hex}"), hadoop.Path(f"{path}/BATCH={batch}")
+    write_shards(df, staged.toString(), nside, nest, rows_per_file=rows_per_file, by_band=by_band)
+    store = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = hadoop.Path(f"{path}/_staged/{batch}-{uuid.uuid4().hex}-old")
+    replaced = store.exists(final)
+    if replaced and not store.rename(final, old):
+        raise OSError(f"could not set aside {final}")
+    if not store.rename(staged, final):
+        raise OSError(f"could not move {staged}")
+    if replaced:
+        store.delete(old, True)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all finished batches, with ``BATCH``, ``BAND`` and ``HPX`` from the folders."""
+    return spark.read.option("basePath", path).parquet(f"{path}/BATCH=*")
+
+
 def skim(df: DataFrame, columns: Sequence[str], select: str | Column | None = None) -> DataFrame:
     """Columns of the rows that pass a predicate (a SQL expression or a column)."""
     out = df if select is None else df.where(select)

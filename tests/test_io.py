@@ -151,3 +151,21 @@ def test_pixel_files_are_pruned_by_name(spark, tmp_path):
     assert schema.names == ["id"]
     got = io.scan_pixels(spark, folder, wanted, schema=schema).groupBy("pixel").count().collect()
     assert {r["pixel"]: r["count"] for r in got} == {2: 143, 5: 143}
+
+
+def test_batches_replace_themselves(spark, tmp_path):
+    folder = str(tmp_path / "shards")
+    df = spark.range(400).selectExpr("id", "'g' AS BAND", "id * 0.9 AS RA", "id / 10.0 - 20 AS DEC")
+    io.append_batch(df.where("id < 100"), folder, 1, nside=2, nest=True)
+    io.append_batch(df.where("id >= 100"), folder, 2, nside=2, nest=True)
+    io.append_batch(df.where("id < 50"), folder, 1, nside=2, nest=True)
+    held = io.read_batches(spark, folder)
+    assert {r["BATCH"]: r["count"] for r in held.groupBy("BATCH").count().collect()} == {1: 50, 2: 300}
+    assert held.select("id").distinct().count() == 350
+    # A failed attempt leaves its staging folder; readers do not see it and the next attempt is whole.
+    broken = df.where("id < 100").withColumn("RA", F.when(F.col("id") == 70, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("RA")))
+    with pytest.raises(Exception, match="lost"):
+        io.append_batch(broken, folder, 1, nside=2, nest=True)
+    assert io.read_batches(spark, folder).where("BATCH = 1").count() == 50
+    io.append_batch(df.where("id < 100"), folder, 1, nside=2, nest=True)
+    assert io.read_batches(spark, folder).count() == 400
