@@ -63,11 +63,21 @@ def _near(value: Column, target: float) -> Column:
     return F.coalesce(F.abs(real(value) - target) <= 1e-8 + 1e-5 * abs(target), F.lit(False))
 
 
-def size_class(s2n: Column, size: Column, variant: str = "year6") -> Column:
-    """0 sure star .. 4 pure galaxy from object size against log10 signal-to-noise."""
+def log_s2n(s2n: Column) -> Column:
+    """log10 of a signal-to-noise ratio that is positive and finite, else null."""
+    s2n = s2n.cast("double")
+    return F.when(above(s2n, 0.0) & finite(s2n), F.log10(s2n))
+
+
+def size_class(s2n: Column, size: Column, variant: str = "year6", logs: Column | None = None) -> Column:
+    """0 sure star .. 4 pure galaxy from object size against log10 signal-to-noise.
+
+    ``logs`` is a column that holds :func:`log_s2n` already; four curves of a dozen knots each refer to it, so a scan
+    that filters by the class should compute it once (see :mod:`skyfold.functions.staging`).
+    """
     knots, curves = SIZE_VARIANTS[variant]
     s2n, size = s2n.cast("double"), size.cast("double")
-    logs = F.when(above(s2n, 0.0) & finite(s2n), F.log10(s2n))
+    logs = log_s2n(s2n) if logs is None else logs
     zero = F.coalesce(s2n == 0.0, F.lit(False))
     infinite = F.coalesce(s2n == float("inf"), F.lit(False))
     if variant in ("year6", "gold"):

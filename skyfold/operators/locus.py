@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyfold.functions.classes import size_class
+from skyfold.functions.classes import log_s2n, size_class
 from skyfold.functions.guards import below, inside
 from skyfold.functions.healpix import with_pixel
 from skyfold.functions.photometry import extinction
+from skyfold.functions.staging import fixed
 from skyfold.operators.quantiles import exact_median, exact_percentiles
 from skyfold.session import materialize
 
@@ -25,10 +26,12 @@ MAD_SCALE = 1.4826
 
 def filter_stars(df: DataFrame, ebv: str = "EBV", mag_base: str = "MAG_PSF_{}", coefficients: str = "release1", variant: str = "year6") -> DataFrame:
     """Point sources in the magnitude windows with dereddened ``g0, r0, i0`` and colours ``gr, ri``."""
-    keep = size_class(F.col("BDF_S2N"), F.col("BDF_T"), variant) == 0
+    columns = df.columns
+    df = fixed(df, {"_s2n": F.col("BDF_S2N").cast("double"), "_size": F.col("BDF_T").cast("double"), "_logs": log_s2n(F.col("BDF_S2N"))})
+    keep = size_class(F.col("_s2n"), F.col("_size"), variant, F.col("_logs")) == 0
     for band, (low, high) in MAG_WINDOWS.items():
         keep = keep & inside(F.col(mag_base.format(band)), low, high)
-    stars = df.where(keep).withColumns({f"{b}0": F.col(mag_base.format(b.upper())) - extinction(F.col(ebv), b, coefficients) for b in "gri"})
+    stars = df.where(keep).select(*columns).withColumns({f"{b}0": F.col(mag_base.format(b.upper())) - extinction(F.col(ebv), b, coefficients) for b in "gri"})
     return stars.withColumns({"gr": F.col("g0") - F.col("r0"), "ri": F.col("r0") - F.col("i0")})
 
 

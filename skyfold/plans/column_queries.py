@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyfold.functions import classes, coords, photometry
 from skyfold.functions.selections import calibration_input, catalog_selection, detection_quality, galaxy_density_cut, good_object, star_selection
+from skyfold.functions.staging import fixed
 from skyfold.operators.coadd import dereddened
 from skyfold.operators.locus import filter_stars
 from skyfold.plans import views
@@ -136,8 +137,9 @@ def _sized(spark, sf):
 
 
 def size_class(spark, sf):
-    made = {f"size_{v}": classes.size_class(F.col("BDF_S2N"), F.col("BDF_T"), v).cast("long") for v in classes.SIZE_VARIANTS}
-    return _rows(_sized(spark, sf).withColumns(made), *made)
+    df = fixed(_sized(spark, sf), {"logs": classes.log_s2n(F.col("BDF_S2N"))})
+    made = {f"size_{v}": classes.size_class(F.col("BDF_S2N"), F.col("BDF_T"), v, F.col("logs")).cast("long") for v in classes.SIZE_VARIANTS}
+    return _rows(df.withColumns(made), *made)
 
 
 def _size_sql(variant):
