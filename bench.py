@@ -19,7 +19,7 @@ from skyfold.session import build_session  # noqa: E402
 LONG = 5
 HEADLINE = [
     "unique_catalog", "match_1arcsec", "radius_pairs", "nearest_ref", "calibrated_mags", "coadd_mag", "coadd_coords", "best_epoch", "derive_zeropoints", "healpix_index",
-    "kde_mode", "split_states", "nearest_other", "colour_locus", "calibrate_exposures",
+    "kde_mode", "split_states", "nearest_other", "colour_locus", "calibrate_exposures", "calibrate_whole", "depth_map",
 ]
 
 
