@@ -28,7 +28,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of the documents with the target shares of sources, languages and topics."""
+    """A sample with the target shares of sources, languages and topics; documents of short cells come more than once."""
     return mixing.sampled_documents(docs)
 
 
