@@ -68,6 +68,30 @@ def test_homogenize_follows_the_sequence(spark):
     assert set(zip(out[out.accepted]["mode"], out[out.accepted].expnum)) == want
 
 
+def test_homogenize_in_parts_and_small_groups(spark):
+    rng = np.random.default_rng(4)
+    n, nside, radius = 240, 16, 5.0
+    pdf = pd.DataFrame({"expnum": np.arange(n), "telra": rng.uniform(0, 40, n), "teldec": rng.uniform(-15, 15, n), "band": "g", "t_eff": rng.uniform(0.1, 1, n), "exptime": 90.0})
+    frame = spark.createDataFrame(pdf)
+    pix = survey.footprint_pixels(frame, nside, radius).select("expnum", "pix").toPandas().groupby("expnum").pix.apply(np.array)
+    score, level, want = (pdf.t_eff * pdf.exptime).to_numpy(), np.zeros(hp.npix(nside)), set()
+    for i in sorted(range(n), key=lambda i: -score[i]):
+        if np.percentile(level[pix[i]], 10) < 150.0:
+            level[pix[i]] += score[i]
+            want.add(i)
+    out = survey.homogenize(frame, sum_threshold=150.0, num_threshold=3.0, nside=nside, radius_deg=radius, part_rows=60, group_pixels=1500).toPandas()
+    assert len(out) == 2 * n and set(out[out.accepted & (out["mode"] == "sum")].expnum) == want
+
+
+def test_homogenize_decides_a_chain_in_few_rounds(spark, monkeypatch):
+    rounds, written = [], survey.materialize
+    monkeypatch.setattr(survey, "materialize", lambda df, label="step": (rounds.append(label), written(df, label))[1])
+    chain = spark.createDataFrame([(k, 10.0 + 0.4 * k, 5.0, "g", 1.0 - k / 100, 90.0) for k in range(12)], "expnum long, telra double, teldec double, band string, t_eff double, exptime double")
+    out = survey.homogenize(chain, nside=64, radius_deg=1.0).toPandas()
+    assert out.accepted.all() and len(out) == 24 and rounds.count("decided") <= 3
+    assert survey.homogenize(chain.limit(0)).isEmpty()
+
+
 def test_confusion_totals(spark):
     df = spark.createDataFrame([(True, True, 1.0), (True, False, 1.0), (False, True, 2.0), (False, False, 2.0), (True, True, 3.0)], "c boolean, t boolean, m double")
     got = {r.bin: r for r in stats.confusion_matrix(df, F.col("c"), ~F.col("c"), F.col("t"), ~F.col("t"), F.col("m"), 1.0, 1.0, 2).collect()}
