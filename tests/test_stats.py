@@ -154,3 +154,22 @@ def test_density_mode_of_far_values(spark):
     assert stats.density_mode(df, [], "v").first()["mode"] == pytest.approx(grid[dense.argmax()])
     far = spark.createDataFrame([(1, 5e9), (1, 5e9 + 1)], "k int, v double")
     assert stats.density_mode(far, ["k"], "v").count() == 0 and stats.density_mode(far, [], "v").first()["mode"] is None
+
+
+def test_tiles_meet_few_positions_outside_them(spark, monkeypatch):
+    from skyfold.operators import masks
+
+    rng = np.random.default_rng(6)
+    sides = {}
+    for name in ("with_cell", "in_covering_cells"):
+        made = getattr(masks, name)
+        monkeypatch.setattr(masks, name, lambda *a, made=made, name=name, **k: sides.setdefault(name, made(*a, **k)))
+    tiles = pd.DataFrame({"tile": range(60), "ra0": rng.uniform(0, 40, 60), "dec0": rng.uniform(-15, 15, 60)}).assign(scale=0.5, x0=5.25, y0=4.75, xmin=0.5, xmax=9.5, ymin=1.0, ymax=9.0)
+    df = pd.DataFrame({"id": range(400), "RA": rng.uniform(0, 40, 400), "DEC": rng.uniform(-15, 15, 400)})
+    got = {tuple(r) for r in masks.tile_coordinates(spark.createDataFrame(df), spark.createDataFrame(tiles), "id").collect()}
+    r, d, r0, d0 = (np.radians(v) for v in (df.RA.to_numpy()[:, None], df.DEC.to_numpy()[:, None], tiles.ra0.to_numpy(), tiles.dec0.to_numpy()))
+    cosc = np.sin(d0) * np.sin(d) + np.cos(d0) * np.cos(d) * np.cos(r - r0)
+    x = 5.25 - np.degrees(np.cos(d) * np.sin(r - r0) / cosc) / 0.5
+    y = 4.75 + np.degrees((np.cos(d0) * np.sin(d) - np.sin(d0) * np.cos(d) * np.cos(r - r0)) / cosc) / 0.5
+    assert got == {(i, t, int(x[i, t]), int(y[i, t])) for i, t in zip(*np.nonzero((cosc > 0) & (x > 0.5) & (x < 9.5) & (y > 1) & (y < 9)))}
+    assert sides["with_cell"].join(sides["in_covering_cells"], "cell").count() < 4 * len(got)
