@@ -9,7 +9,8 @@ counts of the whole corpus, so a rare expression costs both models the same and
    ordinary ones of the labelled sample. Each task adds up its own documents before the shuffle.
 2. Words become character n-grams, pre-added by task; the chain and the log ratio of each n-gram are joins of
    n-gram tables.
-3. The most telling ``MODEL_GRAMS`` n-grams go to the workers. A second pass over all documents compares the
+3. All n-grams of the labelled sample go to the workers, the most telling ``MODEL_GRAMS`` as a dictionary, the others as
+   sorted arrays. A second pass over all documents compares the
    length-normalised log-likelihoods: over the whole text, and over the words that differ most (a share of the length).
 4. A logistic curve through these, fitted on labelled rows that the counts left out, gives the score.
 """
@@ -18,7 +19,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ FOLDS = 5
 HELD_OUT, CALIBRATION = 0, 4
 #: Bounds of the labelled rows that the class counts and the curve are fitted on.
 COUNT_ROWS, CURVE_ROWS = 60_000, 20_000
-#: Bound of the n-grams (and of the histories) in the model that workers load.
+#: N-grams (and histories) that workers hold in a dictionary, the most telling; the others are looked up in sorted arrays.
 MODEL_GRAMS = 400_000
 FLUSH = 400_000
 TOP_SHARES = (0.02, 0.01)
@@ -159,23 +161,56 @@ def log_ratios(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return used.select("item", ratio.alias("ratio"), F.abs(ratio - unseen).alias("weight")), heads
 
 
-def _bounded(rows: DataFrame, most: int) -> dict[str, float]:
+class Ratios(Mapping):
+    """Log ratios by n-gram: the most telling in a dictionary, all others in sorted arrays, a tenth of its size."""
+
+    def __init__(self, telling: dict[str, float], grams_: np.ndarray, values: np.ndarray):
+        order = np.argsort(grams_)
+        self.telling, self.grams, self.values = telling, grams_[order], values[order]
+
+    def __len__(self) -> int:
+        return len(self.telling) + len(self.grams)
+
+    def __iter__(self) -> Iterator[str]:
+        return chain(self.telling, self.grams.tolist())
+
+    def __getitem__(self, gram: str) -> float:
+        found = self.get(gram)
+        if found is None:
+            raise KeyError(gram)
+        return found
+
+    def get(self, gram: str, missing: float | None = None) -> float | None:
+        found = self.telling.get(gram)
+        if found is None and len(self.grams):
+            k = int(np.searchsorted(self.grams, gram))
+            if k < len(self.grams) and self.grams[k] == gram:
+                return float(self.values[k])
+        return missing if found is None else found
+
+
+def _ratios(rows: DataFrame, most: int) -> Ratios:
+    """Every row's ratio; ``most`` of them at most, those of largest weight, in the dictionary."""
     stored = materialize(rows, "ratios")
     n = stored.count()
+    telling = F.lit(True)
     if n > most:
-        stored = stored.where(F.col("weight") > stored.approxQuantile("weight", [1 - most / n], 1e-3)[0])
-    found = stored.select("item", "ratio").toPandas()
-    return dict(zip(found["item"], found["ratio"].round(6), strict=True))
+        telling = F.coalesce(F.col("weight") > stored.approxQuantile("weight", [1 - most / n], 1e-3)[0], F.lit(False))
+    first = stored.where(telling).select("item", "ratio").toArrow()
+    others = stored.where(~telling).select("item", "ratio").toArrow()
+    items = np.concatenate([np.empty(0, f"U{ORDER}"), *(np.array(c.to_pylist(), f"U{ORDER}") for c in others["item"].chunks)])
+    values = dict(zip(first["item"].to_pylist(), np.round(first["ratio"].to_numpy(), 6).tolist(), strict=True))
+    return Ratios(values, items, np.round(others["ratio"].to_numpy().astype(float), 6))
 
 
-def fit_ratios(docs: DataFrame, known: np.ndarray, labels: np.ndarray) -> tuple[dict[str, float], dict[str, float]]:
-    """The model: log ratios of n-grams and of histories, each ``MODEL_GRAMS`` at most."""
+def fit_ratios(docs: DataFrame, known: np.ndarray, labels: np.ndarray) -> tuple[Ratios, Ratios]:
+    """The model: log ratios of all n-grams and histories that the labelled sample has."""
     words = materialize(word_counts(docs, known, labels), "words")
     grams_, heads = log_ratios(gram_counts(words))
-    return _bounded(grams_, MODEL_GRAMS), _bounded(heads, MODEL_GRAMS)
+    return _ratios(grams_, MODEL_GRAMS), _ratios(heads, MODEL_GRAMS)
 
 
-def word_ratio(word: str, grams_: dict[str, float], heads: dict[str, float]) -> float:
+def word_ratio(word: str, grams_: Ratios, heads: Ratios) -> float:
     total = 0.0
     for g in grams(word):
         ratio = grams_.get(g)
@@ -196,7 +231,7 @@ def compared(words: list[str], ratios) -> list[float]:
     return [float(values.sum()) / length, *tops]
 
 
-def features(docs: DataFrame, grams_: dict[str, float], heads: dict[str, float]) -> DataFrame:
+def features(docs: DataFrame, grams_: Ratios, heads: Ratios) -> DataFrame:
     """``(doc_id, f0, f1, f2)`` of every row."""
     names = [f"f{k}" for k in range(1 + len(TOP_SHARES))]
     schema = pa.schema([("doc_id", pa.int64())] + [(n, pa.float64()) for n in names])

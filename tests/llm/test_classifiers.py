@@ -63,6 +63,18 @@ def test_kneser_ney_ratios(spark):
     assert toxicity.word_ratio("idiot", grams, heads) > 1 > -0.1 > toxicity.word_ratio("kind", grams, heads)
 
 
+def test_no_ngram_is_left_out_of_the_model(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdeé\U0001d4d0"), 6)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 12))) for i in range(40)], "doc_id long, text string")
+    known, marks = np.arange(30), np.arange(30) % 2
+    whole = toxicity.fit_ratios(docs, known, marks)
+    monkeypatch.setattr(toxicity, "MODEL_GRAMS", 20)
+    parted = toxicity.fit_ratios(docs, known, marks)
+    assert all(len(a) == len(b) > 20 for a, b in zip(whole, parted, strict=True))
+    assert [toxicity.word_ratio(w, *parted) for w in words] == [toxicity.word_ratio(w, *whole) for w in words]
+
+
 @pytest.mark.parametrize("operator", [toxicity.toxicity, quality.quality])
 def test_edge_rows(spark, operator):
     texts = [(0, None), (1, ""), (2, "a"), (2, "a"), (2, "%%% $$$"), (None, "some text"), (7, "word " * 50_000), (8, " \n\t")]
