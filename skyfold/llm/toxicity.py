@@ -162,7 +162,7 @@ def log_ratios(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class Ratios(Mapping):
-    """Log ratios by n-gram: the most telling in a dictionary, all others in sorted arrays, a tenth of its size."""
+    """Log ratios by n-gram: the most telling in a dictionary, all others in sorted arrays."""
 
     def __init__(self, telling: dict[str, float], grams_: np.ndarray, values: np.ndarray):
         order = np.argsort(grams_)
