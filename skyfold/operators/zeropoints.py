@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from skyfold.functions.coords import angular_separation
 from skyfold.functions.guards import above, below
 from skyfold.functions.photometry import flux_to_mag, flux_to_magerr
+from skyfold.functions.staging import fixed
 from skyfold.schema import BAD_MAG, BAD_ZP_FLAG
 
 KEY = ["EXPNUM", "CCDNUM"]
@@ -68,7 +69,10 @@ def apply_zeropoints(df: DataFrame, zp: DataFrame) -> DataFrame:
     new["MAG_ZERO"] = F.when(hit, F.col("_mz").cast("double")).otherwise(F.lit(BAD_MAG))
     new["SIGMA_MAG_ZERO"] = F.when(hit, F.col("_sz").cast("double")).otherwise(F.lit(BAD_MAG))
     new["ZP_FLAG"] = F.when(hit, F.col("_fz").cast("int")).otherwise(F.lit(BAD_ZP_FLAG))
-    return joined.withColumns(new).drop("_mz", "_sz", "_fz", "_hit")
+    # Computed once: a later filter on magnitudes would otherwise copy these expressions into each of its conditions.
+    staged = fixed(joined, {f"_n_{c}": value for c, value in new.items()})
+    names = [c for c in joined.columns if c not in ("_mz", "_sz", "_fz", "_hit")]
+    return staged.select(*[F.col(f"_n_{c}").alias(c) if c in new else c for c in names], *[F.col(f"_n_{c}").alias(c) for c in new if c not in names])
 
 
 def zeropoint_pairs(first: DataFrame, second: DataFrame, pos=("RA", "DEC")) -> DataFrame:

@@ -8,7 +8,7 @@ from skyfold.functions.selections import good_object
 from skyfold.operators.coadd import coadd_objects
 from skyfold.operators.zeropoints import apply_zeropoints, load_zeropoints
 from skyfold.plans import views
-from skyfold.schema import OBJECT_ID, catalog_schema
+from skyfold.schema import BEST_COLUMNS, OBJECT_ID, catalog_schema
 from skyfold.session import materialize
 
 
@@ -35,7 +35,8 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object catalog in the output schema, but in double precision, with TRUE_ID."""
-    catalog, _ = coadd_objects(materialize(good(spark, sf_dir), "good"), "det_id")
+    used = ["det_id", OBJECT_ID, "BAND", "RA", "DEC", "MJD_OBS", "MAG_PSF", "MAGERR_PSF", "MAG_AUTO", "MAGERR_AUTO", "SPREAD_MODEL", "SPREADERR_MODEL", *BEST_COLUMNS]
+    catalog, _ = coadd_objects(materialize(good(spark, sf_dir).select(*dict.fromkeys(used)), "good"), "det_id")
     return _defaults(catalog).withColumn("TRUE_ID", F.col(OBJECT_ID))
 
 
