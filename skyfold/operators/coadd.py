@@ -130,20 +130,30 @@ def coadd_bands(df: DataFrame, id_col: str, objid: str = OBJECT_ID) -> DataFrame
     return stats.select("*", F.col("_best._best_id").alias("_best_id"), *[F.col(f"_best.{c}").alias(c) for c in carried]).drop("_best")
 
 
-def pivot_bands(per_band: DataFrame, fields: Sequence[str], bands: Sequence[str], objid: str = OBJECT_ID) -> DataFrame:
+def pivot_bands(per_band: DataFrame, fields: Sequence[str], bands: Sequence[str], objid: str = OBJECT_ID, whole: bool = False) -> DataFrame:
+    """One row per object from at most one row per (object, band).
+
+    With ``whole`` a band travels as one struct: an aggregate of its own for each field and band makes code too long to
+    be compiled once most of them are read, but lets the unread ones go.
+    """
+    if whole:
+        row = F.struct(*[F.col(f) for f in fields])
+        wide = per_band.groupBy(objid).agg(*[F.max(F.when(F.col("BAND") == b, row)).alias(f"_row_{b}") for b in bands])
+        return wide.select(objid, *[F.col(f"_row_{b}").getField(f).alias(band_column(f, b)) for f in fields for b in bands])
     picks = [F.expr(f"max(CASE WHEN BAND = '{b}' THEN `{f}` END) AS `{band_column(f, b)}`") for f in fields for b in bands]
     return per_band.groupBy(objid).agg(*picks)
 
 
-def coadd_objects(df: DataFrame, id_col: str, bands: Sequence[str] = BANDS, objid: str = OBJECT_ID) -> tuple[DataFrame, DataFrame]:
+def coadd_objects(df: DataFrame, id_col: str, bands: Sequence[str] = BANDS, objid: str = OBJECT_ID, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """The object catalog and the table that ties detections to objects.
 
-    In the key table ``UNIQUE_ID`` is the object id on the best epoch of each band and -1 elsewhere.
+    In the key table ``UNIQUE_ID`` is the object id on the best epoch of each band and -1 elsewhere. ``whole`` is for
+    readers of all columns (:func:`pivot_bands`).
     """
     trimmed = df.withColumn("BAND", F.rtrim("BAND"))
     per_band = coadd_bands(trimmed.where(F.col("BAND").isin(list(bands))), id_col, objid)
     fields = [c for c in per_band.columns if c not in (objid, "BAND", "_best_id")]
-    wide = pivot_bands(per_band, fields, bands, objid)
+    wide = pivot_bands(per_band, fields, bands, objid, whole)
     place = coadd_coords(trimmed, [objid], {"MJD_OBS": ("MJD_OBS", 0.5)})
     catalog = coadd_healpix(place).join(wide, objid, "left")
     best = per_band.select(objid, "BAND", F.col("_best_id").alias("_best_id"))

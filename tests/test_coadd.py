@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skyfold.functions import classes
 from skyfold.functions.interpolation import piecewise_linear
 from skyfold.functions.photometry import extinction, flux_to_mag, flux_to_magerr, linear_transform
+from skyfold.functions.selections import good_object
 from skyfold.operators import calibration, coadd, zeropoints
 from skyfold.operators.quantiles import exact_percentiles
 from skyfold.schema import band_columns
@@ -131,3 +132,22 @@ def test_catalog_schema_is_checked_when_the_plan_is_made(spark):
         schema.checked_catalog(df.withColumn("x", F.lit(1)).select("*", F.col("x").alias("X")))
     with pytest.raises(ValueError, match="no numbers"):
         schema.checked_catalog(df.withColumn("MAG_PSF_G", F.array("MAG_PSF_G")))
+
+
+def test_magnitudes_are_computed_once(spark):
+    """A filter on calibrated magnitudes reads them: it does not repeat their logarithms in each condition."""
+    cols = "EXPNUM long, CCDNUM long, FLUX_PSF double, FLUXERR_PSF double, FLUX_AUTO double, FLUXERR_AUTO double, SPREAD_MODEL double, SPREADERR_MODEL double, FLAGS int, ZP_FLAG int"
+    det = spark.createDataFrame([(1, 1, 100.0, 1.0, 90.0, 1.0, 0.0, 0.1, 0, 9), (2, 1, 100.0, 1.0, 90.0, 1.0, 0.0, 0.1, 0, 9), (None, 1, 100.0, 1.0, 90.0, 1.0, 0.0, 0.1, 0, 9)], cols)
+    zp = spark.createDataFrame([(1, 1, 30.0, 0.01, 0)], "EXPNUM long, CCDNUM long, MAG_ZERO double, SIGMA_MAG_ZERO double, ZP_FLAG int")
+    out = zeropoints.apply_zeropoints(det, zp)
+    assert out.columns == [*cols.replace(" long", "").replace(" double", "").replace(" int", "").split(", "), "MAG_PSF", "MAGERR_PSF", "MAG_AUTO", "MAGERR_AUTO", "MAG_ZERO", "SIGMA_MAG_ZERO"]
+    assert sorted((r.MAG_PSF, r.ZP_FLAG) for r in out.collect()) == [(25.0, 0), (99.0, 2), (99.0, 2)]
+    good = out.where(good_object())
+    assert good.count() == 1
+    assert good._jdf.queryExecution().optimizedPlan().toString().upper().count("LOG10(") == 2
+
+
+def test_pivot_of_whole_bands(spark):
+    rows = spark.createDataFrame([(1, "g", 1.5, 2, None), (1, "r", float("nan"), 3, "b"), (2, "Y", None, None, "c")], "QUICK_OBJECT_ID long, BAND string, a double, n int, s string")
+    plain, whole = (coadd.pivot_bands(rows, ["a", "n", "s"], ["g", "r", "Y"], whole=w).orderBy("QUICK_OBJECT_ID") for w in (False, True))
+    assert plain.dtypes == whole.dtypes and str(plain.collect()) == str(whole.collect())
