@@ -74,8 +74,9 @@ CONE_SQL = oracle(
 def insert_checked(spark, sf):
     """Columns added by key, with the check that nothing else changed."""
     df = views.detections(spark, sf).groupBy("FILENAME", "OBJECT_NUMBER", "BAND").agg(F.min("TRUE_ID").alias("TRUE_ID"), F.max("FLUX_PSF").cast("double").alias("FLUX_PSF"))
+    df = materialize(df, "detections")
     new = df.select("FILENAME", "OBJECT_NUMBER", (F.col("TRUE_ID") * 3).alias("TRIPLE"), F.lit("none").alias("BAND"))
-    kept, forced = io.insert_index(df, new), io.insert_index(df, new, force=True)
+    kept, forced = materialize(io.insert_index(df, new), "kept"), io.insert_index(df, new, force=True)
     checks = {"intact": quality.insert_intact(df, kept, ["FILENAME", "OBJECT_NUMBER"]), "replaced": not quality.insert_intact(df, forced, ["FILENAME", "OBJECT_NUMBER"])}
     out = kept.groupBy("BAND").agg(F.count(F.lit(1)).alias("n"), F.sum("TRIPLE").alias("triple"))
     return out.withColumns({k: F.lit(v) for k, v in checks.items()})

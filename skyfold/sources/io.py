@@ -12,6 +12,7 @@ from skyfold.functions.healpix import with_pixel
 from skyfold.operators.ids import dense_ids
 from skyfold.operators.relational import stack
 from skyfold.schema import DETECTION_SCHEMA, RADEC_ALIASES, require_columns
+from skyfold.session import discard, materialize
 
 EXPOSURE_FIELDS = ["PFW_ATTEMPT_ID", "TAG", "UNITNAME", "REQNUM", "ATTNUM", "T_EFF"]
 
@@ -125,9 +126,11 @@ def write_shards(df: DataFrame, path: str, nside: int, nest: bool = False, force
     """One folder per band and pixel, sorted by position inside.
 
     A pixel with more than ``rows_per_file`` rows is dealt over as many tasks as it needs files, by a hash of the
-    position, so a cluster of sources spreads as well. ``df`` is read twice, once for the sizes.
+    position, so a cluster of sources spreads as well. ``df`` is worked out once: the rows are written with their pixel,
+    and both the sizes and the layout read that table.
     """
-    sharded = with_pixel(df, nside, nest=nest, name="HPX").withColumns({"NSIDE": F.lit(nside), "ORDERING": F.lit("NEST" if nest else "RING")})
+    staged = materialize(with_pixel(df, nside, nest=nest, name="HPX"), "sharded")
+    sharded = staged.withColumns({"NSIDE": F.lit(nside), "ORDERING": F.lit("NEST" if nest else "RING")})
     keys = ["BAND", "HPX"] if by_band and "BAND" in df.columns else ["HPX"]
     sizes = sharded.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
     bucket = F.pmod(F.xxhash64("RA", "DEC"), F.col("_files"))
@@ -135,6 +138,7 @@ def write_shards(df: DataFrame, path: str, nside: int, nest: bool = False, force
     layout = sized.repartition(*keys, "_bucket").sortWithinPartitions(*keys, "_bucket", "DEC", "RA").drop("_files", "_bucket")
     mode = "append" if append else ("overwrite" if force else "errorifexists")
     layout.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).mode(mode).parquet(path)
+    discard(staged)
 
 
 def append_batch(df: DataFrame, path: str, batch: int, nside: int, nest: bool = False, rows_per_file: int = 5_000_000, by_band: bool = True) -> None:
@@ -199,7 +203,10 @@ def insert_columns(df: DataFrame, new: DataFrame, key: Sequence[str], force: boo
 def insert_index(df: DataFrame, new: DataFrame, force: bool = False) -> DataFrame:
     """Insert keyed by (FILENAME, OBJECT_NUMBER); the key sets must be the same."""
     key = ["FILENAME", "OBJECT_NUMBER"]
-    if not (df.join(new, key, "left_anti").isEmpty() and new.join(df, key, "left_anti").isEmpty()):
+    side = lambda table, mark: table.select(*key, F.lit(mark).alias("_side"))
+    seen = side(df, 1).unionByName(side(new, 2)).groupBy(*key).agg(F.bit_or("_side").alias("_seen"))
+    # A key with a null in it equals no other.
+    if not seen.where((F.col("_seen") != 3) | F.col(key[0]).isNull() | F.col(key[1]).isNull()).isEmpty():
         raise ValueError("mismatch in FILENAME or OBJECT_NUMBER")
     return insert_columns(df, new, key, force)
 

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from skyfold import session
+from skyfold.plans import source_queries
 from skyfold.sources import catalogs, io
 
 
@@ -169,3 +171,34 @@ def test_batches_replace_themselves(spark, tmp_path):
     assert io.read_batches(spark, folder).where("BATCH = 1").count() == 50
     io.append_batch(df.where("id < 100"), folder, 1, nside=2, nest=True)
     assert io.read_batches(spark, folder).count() == 400
+
+
+def _written(monkeypatch, module):
+    labels, write = [], session.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: (labels.append(label), write(df, label))[1])
+    return labels
+
+
+def test_shards_work_their_rows_out_once(spark, tmp_path, monkeypatch):
+    labels = _written(monkeypatch, io)
+    df = spark.range(300).select((F.col("id") * 1.1).alias("RA"), (F.col("id") / 5 - 30).alias("DEC"), F.when(F.col("id") > 9, "g").alias("BAND"))
+    io.write_shards(df.where("BAND IS NOT NULL"), str(tmp_path / "s"), 2, rows_per_file=50)
+    assert labels == ["sharded"] and spark.read.parquet(str(tmp_path / "s")).count() == 290
+
+
+def test_insert_works_its_table_out_once(spark, tmp_path, monkeypatch):
+    labels = _written(monkeypatch, source_queries)
+    spark.range(60).selectExpr(
+        "id AS l_partkey", "id % 7 AS l_orderkey", "cast(1 + id % 3 as int) AS l_linenumber", "id % 5 AS l_suppkey", "date'2020-01-01' AS l_shipdate", "1e1 AS l_quantity", "1e2 + id AS l_extendedprice", "5e-2 AS l_discount", "2e-2 AS l_tax",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = source_queries.insert_checked(spark, str(tmp_path)).collect()
+    assert labels == ["detections", "kept"] and rows and all(r.intact and r.replaced for r in rows)
+
+
+def test_insert_index_with_null_and_missing_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "FILENAME string, OBJECT_NUMBER int")
+    extra = spark.createDataFrame([("a", 3)], df.schema)
+    void = spark.createDataFrame([(None, 1)], df.schema)
+    for left, right in ((df, df.union(extra)), (df.union(extra), df), (df.union(void), df.union(void))):
+        with pytest.raises(ValueError, match="mismatch"):
+            io.insert_index(left, right.withColumn("Q", F.lit(1)))
