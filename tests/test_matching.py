@@ -192,3 +192,13 @@ def test_nearest_other_in_a_clump_and_an_empty_field(spark):
     assert len(got) == len(pos)
     for i, (other, sep) in got.items():
         assert other == d2[i].argmin() and sep == pytest.approx(np.degrees(2 * np.arcsin(np.sqrt(d2[i].min()) / 2)), abs=1e-9)
+
+
+def test_nearest_other_with_broadcast_and_shuffled_searches(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    pdf = pd.concat([field(17, 150), pd.DataFrame({"id": np.arange(500, 530), "RA": rng.uniform(0, 360, 30), "DEC": rng.uniform(-90, 90, 30), "EXPNUM": 0})])
+    df, found = spark.createDataFrame(pdf.reset_index(drop=True)), []
+    for few in (0, 20_000):
+        monkeypatch.setattr(spatial, "FEW_ROWS", few, raising=True)
+        found.append(sorted(tuple(r) for r in spatial.nearest_other(df, "id", group=["EXPNUM"]).collect()))
+    assert found[0] == found[1] and found[0]
