@@ -165,10 +165,11 @@ def fingerprint_links(distinct: DataFrame, t: int = SHARED_BLOCKS) -> DataFrame:
     """``(a, b)``: links that connect the same fingerprints as all pairs within ``MAX_BITS`` do.
 
     ``distinct`` holds each fingerprint once in column ``fp``. Only keys that two fingerprints share are dealt out.
+    Spark takes the key rows to be as few as the fingerprints they were exploded from, so the join is told to merge.
     """
     keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"), t)).alias("k")).select("fp", "k.choice", "k.key")
     shared = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    dealt = keyed.join(shared, ["choice", "key"]).withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int"))
+    dealt = keyed.join(shared.hint("merge"), ["choice", "key"]).withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda s: F.struct(F.least(s, "own").alias("i"), F.greatest(s, "own").alias("j")))
     grouped = dealt.withColumn("own", own).withColumn("pairs", F.when(F.col("pieces") > 1, F.filter(pairs, lambda p: p.i != p.j)).otherwise(pairs))

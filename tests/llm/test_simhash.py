@@ -91,3 +91,10 @@ def test_components_of_a_chain(spark):
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_exploded_keys_are_never_broadcast(spark):
+    # Spark sizes the keys like the few bytes of the fingerprints before they were exploded.
+    distinct = spark.range(50).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.fingerprint_links(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
