@@ -9,13 +9,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyfold.functions.coords import chord, chord_to_angle
+from skyfold.functions.coords import chord_to_angle
 from skyfold.functions.guards import inside
 from skyfold.functions.healpix import disc_pixels, with_pixel
 from skyfold.functions.photometry import by_band, interpolated_transform, linear_transform
 from skyfold.functions.selections import calibration_star
+from skyfold.operators.nearest import nearest_in_cells
 from skyfold.operators.quantiles import exact_percentiles
-from skyfold.operators.spatial import ARCSEC, _on, as_points, chord2, hot_cells, meeting_sides, nearest_join
+from skyfold.operators.spatial import ARCSEC, CELLS_PER_RADIUS, as_points, with_cell
 from skyfold.session import discard, materialize
 
 SIGMAS = 3.0
@@ -34,10 +35,15 @@ def merge_reference(detections: DataFrame, reference: DataFrame, det_id: str, re
     det_cols = [c for c in detections.columns if c != det_id]
     ref = reference.withColumnsRenamed({"RA": "RA_REF", "DEC": "DEC_REF"})
     ref_cols = [c for c in ref.columns if c != ref_id]
-    near = nearest_join(
-        ref, detections, arcsec * ARCSEC, ref_id, det_id, ("RA_REF", "DEC_REF"), left_cols=ref_cols, right_cols=det_cols, strict=True
+    radius = arcsec * ARCSEC
+    owners = as_points(detections.withColumn("row", F.struct(*det_cols)), det_id, keep=["row"]).withColumn("scope", F.lit(0))
+    seekers = as_points(ref.withColumn("_ref", F.struct(*ref_cols)), ref_id, "RA_REF", "DEC_REF", keep=["_ref"])
+    seekers = with_cell(seekers, min(radius * CELLS_PER_RADIUS, 180.0), name="_home").withColumn("kept", F.struct("_home", "_ref"))
+    near = nearest_in_cells(owners, seekers, radius)
+    best = near.groupBy("kept._home", "seeker").agg(F.min(F.struct("d2", "owner", "row")).alias("_b"), F.first("kept._ref").alias("_a"))
+    return best.select(
+        F.col("seeker").alias(ref_id), F.col("_b.owner").alias(det_id), chord_to_angle(F.col("_b.d2")).alias("sep"), "_a.*", "_b.row.*"
     )
-    return near.withColumnsRenamed({"left_id": ref_id, "right_id": det_id})
 
 
 def merge_reference_by_exposure(
@@ -47,18 +53,15 @@ def merge_reference_by_exposure(
     """The same match done inside each exposure, for all exposures at once.
 
     Detections meet reference rows in one cell join that does not know of exposures, so a reference row is copied for
-    the cells it touches and never for the exposures that see it. A pair counts when the exposure's cone holds the
-    reference row's shard pixel; the nearest detection of each (exposure, reference row) follows.
+    the cells it touches and never for the exposures that see it. Only the nearest detection of each exposure leaves a
+    cell. It counts when the exposure's cone holds the reference row's shard pixel.
     """
     ref = with_pixel(reference.withColumnsRenamed({"RA": "RA_REF", "DEC": "DEC_REF"}), nside, "RA_REF", "DEC_REF", name="_hpx")
     ref_cols, det_cols = ([c for c in df.columns if c not in (key, "EXPNUM", "_hpx")] for df, key in ((ref, ref_id), (detections, det_id)))
-    lhs = as_points(detections.withColumn("_row", F.struct(*det_cols)), det_id, keep=["EXPNUM", "_row"])
-    rhs = as_points(ref.withColumn("_ref", F.struct(*ref_cols)), ref_id, "RA_REF", "DEC_REF", keep=["_hpx", "_ref"])
-    radius = arcsec * ARCSEC
-    a, b, keys = meeting_sides(lhs, rhs, radius, hot=hot_cells(lhs, radius))
-    d2 = chord2("a", "b")
-    near = a.alias("a").join(b.alias("b"), _on(keys, "a", "b") & (d2 < chord(radius) ** 2))
-    pairs = near.select("a.EXPNUM", F.col("b.id").alias(ref_id), "b._hpx", "b._ref", F.struct(d2.alias("d2"), F.col("a.id").alias("did"), F.col("a._row").alias("row")).alias("_near"))
+    owners = as_points(detections.withColumnsRenamed({"EXPNUM": "scope"}).withColumn("row", F.struct(*det_cols)), det_id, keep=["scope", "row"])
+    seekers = as_points(ref.withColumn("kept", F.struct("_hpx", F.struct(*ref_cols).alias("_ref"))), ref_id, "RA_REF", "DEC_REF", keep=["kept"])
+    near = nearest_in_cells(owners, seekers, arcsec * ARCSEC)
+    pairs = near.select(F.col("scope").alias("EXPNUM"), F.col("seeker").alias(ref_id), "kept._hpx", "kept._ref", F.struct("d2", F.col("owner").alias("did"), "row").alias("_near"))
     cones = disc_pixels(exposures.select("EXPNUM", "TELRA", "TELDEC"), nside, "TELRA", "TELDEC", cone_deg, inclusive=True, name="_hpx")
     seen = pairs.join(cones.select("EXPNUM", "_hpx").distinct(), ["EXPNUM", "_hpx"], "left_semi")
     best = seen.groupBy("EXPNUM", ref_id).agg(F.min("_near").alias("_b"), F.first("_ref").alias("_a"))

@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyfold.operators import calibration
+from skyfold.operators import calibration, nearest
 from skyfold.operators.quantiles import exact_percentiles
+from skyfold.operators.spatial import as_points
 
 
 def separation(a, b):
@@ -105,3 +106,31 @@ def test_percentiles_are_one_lazy_plan(spark):
     assert "Window" not in out._jdf.queryExecution().toString()
     assert exact_percentiles(df.where("false"), ["k"], {"m": ("v", 0.5)}).count() == 0
     assert exact_percentiles(df.where("false"), [], {"m": ("v", 0.5)}).first().m is None
+
+
+def test_only_the_nearest_pair_leaves_a_cell(spark, monkeypatch):
+    rng = random.Random(3)
+    pool = [(10 + rng.random() * 1.2e-3, rng.random() * 1.2e-3) for _ in range(150)]
+    places = [rng.choice(pool) for _ in range(400)] + [(359.9999, 89.99995), (0.0, 90.0), (0.0, 90.0)]
+    dets = [(None if k == 7 else k // 2, k % 3, f"row {k}", *p) for k, p in enumerate(places)]
+    refs = [(k // 2, f"ref {k}", 10 + rng.random() * 1.2e-3, rng.random() * 1.2e-3) for k in range(60)] + [(99, "pole", 120.0, 89.99999), (100, "far", 200.0, 5.0)]
+    det = spark.createDataFrame(dets, "det_id long, EXPNUM long, name string, RA double, DEC double")
+    ref = spark.createDataFrame(refs, "OBJID long, title string, RA double, DEC double")
+    owners = as_points(det.withColumn("row", F.struct("name")), "det_id", keep=["row", "EXPNUM"]).withColumnRenamed("EXPNUM", "scope")
+    seekers = as_points(ref.withColumn("kept", F.struct("title")), "OBJID", keep=["kept"])
+    expected = {}
+    for _, title, *p in refs:
+        for d, e, name, *q in dets:
+            if separation(p, q) * 3600 < 1.0:
+                expected.setdefault((e, title), []).append((round(separation(p, q) * 3600, 6), -1 if d is None else d, name))
+    for parts, rows in ((20_000, 1 << 16), (50, 16)):
+        monkeypatch.setattr(nearest, "ROWS_AT_ONCE", rows)
+        monkeypatch.setattr(nearest, "PAIRS_OF_A_CELL", rows)
+        monkeypatch.setattr(nearest, "PAIRS_AT_ONCE", rows)
+        near = nearest.nearest_in_cells(owners, seekers, 1.0 / 3600.0, parts)
+        found = {}
+        for r in near.collect():
+            found.setdefault((r.scope, r.kept.title), []).append((round(2 * math.degrees(math.asin(math.sqrt(r.d2) / 2)) * 3600, 6), -1 if r.owner is None else r.owner, r.row.name))
+        # Each cell a seeker touches, and each part of it, gives one pair of a scope at most.
+        assert all(len(v) <= 4 * (1 if parts > 400 else 20) for v in found.values())
+        assert {k: min(v) for k, v in found.items()} == {k: min(v) for k, v in expected.items()}
