@@ -17,7 +17,7 @@ from skyfold.functions.healpix import with_pixel
 from skyfold.functions.photometry import extinction
 from skyfold.functions.selections import band_count, good_object
 from skyfold.operators.maps import interpolate_map
-from skyfold.operators.quantiles import exact_percentiles
+from skyfold.operators.quantiles import HOT_GROUP_ROWS, exact_percentiles
 from skyfold.schema import (
     BAD_MAG, BANDS, BEST_COLUMNS, HPX_NSIDE, MIN_BANDS, OBJECT_ID, UNIQUE_ID, apply_catalog_schema, band_column, band_columns, checked_catalog,
 )
@@ -83,10 +83,10 @@ def coadd_mjd(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return exact_percentiles(df, keys, {"MJD_OBS": ("MJD_OBS", 0.5)})
 
 
-def coadd_coords(df: DataFrame, keys: Sequence[str], extra: dict[str, tuple[str, float]] | None = None) -> DataFrame:
+def coadd_coords(df: DataFrame, keys: Sequence[str], extra: dict[str, tuple[str, float]] | None = None, hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """Median direction of each object, and other percentiles of the same pass."""
     vectors = df.withColumns(dict(zip(("_x", "_y", "_z"), unit_vector(F.col("RA"), F.col("DEC")))))
-    medians = exact_percentiles(vectors, keys, {c: (c, 0.5) for c in ("_x", "_y", "_z")} | (extra or {}))
+    medians = exact_percentiles(vectors, keys, {c: (c, 0.5) for c in ("_x", "_y", "_z")} | (extra or {}), hot_rows)
     lon, lat = vector_lonlat(F.col("_x"), F.col("_y"), F.col("_z"))
     return medians.select(*keys, lon.alias("RA"), lat.alias("DEC"), *(extra or {}))
 
@@ -144,21 +144,37 @@ def pivot_bands(per_band: DataFrame, fields: Sequence[str], bands: Sequence[str]
     return per_band.groupBy(objid).agg(*picks)
 
 
-def coadd_objects(df: DataFrame, id_col: str, bands: Sequence[str] = BANDS, objid: str = OBJECT_ID, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+#: Objects of more rows than this are not brought together; rows are counted in so many slots of objects.
+GATHERED_ROWS = 1_000_000
+GATHER_SLOTS = 1 << 16
+
+
+def crowded(df: DataFrame, objid: str = OBJECT_ID) -> bool:
+    """Whether an object may have more than ``GATHERED_ROWS`` rows."""
+    slots = df.groupBy(F.pmod(F.xxhash64(objid), F.lit(GATHER_SLOTS)).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    return (slots.agg(F.max("n")).first()[0] or 0) > GATHERED_ROWS
+
+
+def coadd_objects(df: DataFrame, id_col: str, bands: Sequence[str] = BANDS, objid: str = OBJECT_ID, whole: bool = False, gather: bool = False) -> tuple[DataFrame, DataFrame]:
     """The object catalog and the table that ties detections to objects.
 
     In the key table ``UNIQUE_ID`` is the object id on the best epoch of each band and -1 elsewhere. ``whole`` is for
-    readers of all columns (:func:`pivot_bands`).
+    readers of all columns (:func:`pivot_bands`). ``gather``, for a written table, brings the rows of an object
+    together before they are added up: the partial sums of a row are several times as wide as the row, and few rows of an
+    object meet in a task before. Where an object is crowded, partial sums are merged all the same.
     """
     trimmed = df.withColumn("BAND", F.rtrim("BAND"))
+    gather = gather and not crowded(df, objid)
+    if gather:
+        trimmed = trimmed.repartition(objid)
     per_band = coadd_bands(trimmed.where(F.col("BAND").isin(list(bands))), id_col, objid)
     fields = [c for c in per_band.columns if c not in (objid, "BAND", "_best_id")]
     wide = pivot_bands(per_band, fields, bands, objid, whole)
-    place = coadd_coords(trimmed, [objid], {"MJD_OBS": ("MJD_OBS", 0.5)})
+    place = coadd_coords(trimmed, [objid], {"MJD_OBS": ("MJD_OBS", 0.5)}, None if gather else HOT_GROUP_ROWS)
     catalog = coadd_healpix(place).join(wide, objid, "left")
     best = per_band.select(objid, "BAND", F.col("_best_id").alias("_best_id"))
     index = [c for c in (id_col, objid, "BAND", "FILENAME", "OBJECT_NUMBER", "EXPNUM", "CCDNUM") if c in trimmed.columns]
-    keys = trimmed.select(*index).join(best, [objid, "BAND"], "left")
+    keys = df.withColumn("BAND", F.rtrim("BAND")).select(*index).join(best, [objid, "BAND"], "left")
     unique = F.when(F.col("_best_id") == F.col(id_col), F.col(objid)).otherwise(F.lit(-1)).cast("long")
     return catalog, keys.withColumn(UNIQUE_ID, unique).drop("_best_id")
 

@@ -51,15 +51,18 @@ def _brackets(clean: DataFrame, keys: Sequence[str], values: Mapping[str, tuple[
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], hot_rows: int = HOT_GROUP_ROWS, extra: Sequence[Column] = (), accuracy: int = ACCURACY
+    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], hot_rows: int | None = HOT_GROUP_ROWS, extra: Sequence[Column] = (), accuracy: int = ACCURACY
 ) -> DataFrame:
     """``{name: (column, q)}`` per group, NULL and NaN left out, plus ``extra`` aggregates.
 
-    Interpolates linearly between ranks, as the median of an even group does.
+    Interpolates linearly between ranks, as the median of an even group does. ``hot_rows`` is None where the caller knows
+    that no group is hot.
     """
     keys = list(keys)
     values = {name: (f"_p_{c}", q) for name, (c, q) in wanted.items()}
     clean = df.withColumns({f"_p_{c}": F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c, _ in wanted.values()})
+    if hot_rows is None:
+        return clean.groupBy(*keys).agg(*[F.percentile(value, q).alias(name) for name, (value, q) in values.items()], *extra)
     # A whole table is one group; the key is only for the join.
     on = keys or ["_all"]
     clean = clean if keys else clean.withColumn("_all", F.lit(0))

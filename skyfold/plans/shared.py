@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyfold.functions.selections import good_object
@@ -23,7 +25,7 @@ def as_long(df: DataFrame, *names: str) -> DataFrame:
 
 
 def calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = materialize(views.zeropoints(spark, sf_dir), "zeropoints")
+    stored = materialize(views.zeropoints(spark, sf_dir).select("EXPNUM", "CCDNUM", "MAG_ZERO", "SIGMA_MAG_ZERO", "ZP_FLAG"), "zeropoints")
     usable = load_zeropoints(stored, views.blacklisted(stored))
     return apply_zeropoints(views.detections(spark, sf_dir), usable)
 
@@ -33,10 +35,18 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calibrated(spark, sf_dir).where(good_object()).withColumn(OBJECT_ID, F.col("TRUE_ID"))
 
 
-def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Object catalog in the output schema, but in double precision, with TRUE_ID."""
-    used = ["det_id", OBJECT_ID, "BAND", "RA", "DEC", "MJD_OBS", "MAG_PSF", "MAGERR_PSF", "MAG_AUTO", "MAGERR_AUTO", "SPREAD_MODEL", "SPREADERR_MODEL", *BEST_COLUMNS]
-    catalog, _ = coadd_objects(materialize(good(spark, sf_dir).select(*dict.fromkeys(used)), "good"), "det_id")
+def coadd_input(spark: SparkSession, sf_dir: str, best: Sequence[str] = BEST_COLUMNS) -> DataFrame:
+    """Written: what the coadd reads of the good detections, with the wanted columns of best epochs."""
+    used = ["det_id", OBJECT_ID, "BAND", "RA", "DEC", "MJD_OBS", "MAG_PSF", "MAGERR_PSF", "MAG_AUTO", "MAGERR_AUTO", "SPREAD_MODEL", "SPREADERR_MODEL", *best]
+    return materialize(good(spark, sf_dir).select(*dict.fromkeys(used)), "good")
+
+
+def objects(spark: SparkSession, sf_dir: str, best: Sequence[str] = BEST_COLUMNS, gather: bool = False) -> DataFrame:
+    """Object catalog in the output schema, but in double precision, with TRUE_ID.
+
+    Columns of best epochs that are not in ``best`` have their defaults. ``gather``: see :func:`coadd_objects`.
+    """
+    catalog, _ = coadd_objects(coadd_input(spark, sf_dir, best), "det_id", gather=gather)
     return _defaults(catalog).withColumn("TRUE_ID", F.col(OBJECT_ID))
 
 

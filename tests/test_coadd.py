@@ -151,3 +151,22 @@ def test_pivot_of_whole_bands(spark):
     rows = spark.createDataFrame([(1, "g", 1.5, 2, None), (1, "r", float("nan"), 3, "b"), (2, "Y", None, None, "c")], "QUICK_OBJECT_ID long, BAND string, a double, n int, s string")
     plain, whole = (coadd.pivot_bands(rows, ["a", "n", "s"], ["g", "r", "Y"], whole=w).orderBy("QUICK_OBJECT_ID") for w in (False, True))
     assert plain.dtypes == whole.dtypes and str(plain.collect()) == str(whole.collect())
+
+
+def test_gathered_objects_are_the_same(spark, monkeypatch):
+    rows = [detection(i, i % 7, "grizY"[i % 5], 20 + i % 11 * 0.1, 0.1 + i % 4 * 0.2, i % 3) for i in range(210)] + [detection(900, 50, "g ", 21.0, 0.5)]
+    df = spark.createDataFrame(rows)
+    whole = lambda **how: sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in coadd.coadd_objects(df, "id", whole=True, **how)[0].collect()], key=str)
+    expected = whole()
+    assert len(expected) == 8 and whole(gather=True) == expected
+    # Rows travel once for the bands and once for the positions; no partial sums do.
+    plan = coadd.coadd_objects(df, "id", whole=True, gather=True)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 2 and "ENSURE_REQUIREMENTS" not in plan
+    monkeypatch.setattr(coadd, "GATHERED_ROWS", 20)
+    assert coadd.crowded(df) and whole(gather=True) == expected
+
+
+def test_no_hot_groups_by_the_callers_word(spark):
+    df = spark.createDataFrame([(k % 3, float(k * 7 % 11)) for k in range(40)] + [(9, None), (9, float("nan"))], "k int, v double")
+    rows = lambda **how: sorted(map(tuple, exact_percentiles(df, ["k"], {"m": ("v", 0.5)}, **how).collect()))
+    assert rows(hot_rows=None) == rows()
