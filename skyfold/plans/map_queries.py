@@ -14,7 +14,7 @@ from skyfold.plans import views
 from skyfold.plans.column_queries import GALACTIC_SQL, LOCUS_INPUT_SQL, _CUT, _cls, _sep_sql, gaia_expr
 from skyfold.plans.shared import good, objects, rounded
 from skyfold.plans.views import oracle
-from skyfold.schema import OBJECT_ID
+from skyfold.schema import BANDS, OBJECT_ID, band_columns
 from skyfold.session import materialize
 
 
@@ -132,8 +132,14 @@ TEFF_MAP_SQL = oracle(
 )
 
 
+DEPTH_BEST = ["MAG_PSF", "MAGERR_PSF", "MAG_AUTO", "MAGERR_AUTO", "SPREAD_MODEL", "SPREADERR_MODEL", "FLAGS", "T_EFF", "EXPTIME"]
+DEPTH_FIELDS = ["MAG_PSF", "MAGERR_PSF", "MAG_AUTO", "MAGERR_AUTO", "WAVG_MAG_PSF", "WAVG_SPREAD_MODEL"]
+
+
 def _shards(spark, sf):
-    return materialize(objects(spark, sf).withColumn("HPX", F.floor((F.col("DEC") + 60.0) / 45.0).cast("long")), "objects")
+    """What the depth maps read of the objects, and their shard."""
+    df = objects(spark, sf, DEPTH_BEST, gather=True).select(OBJECT_ID, "RA", "DEC", *band_columns(DEPTH_FIELDS, BANDS))
+    return materialize(df.withColumn("HPX", F.floor((F.col("DEC") + 60.0) / 45.0).cast("long")), "objects")
 
 
 def depth_map(spark, sf):
