@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyfold.functions.healpix import npix
-from skyfold.operators import coadd, maps, matching
+from skyfold.operators import coadd, maps, masks, matching
+from skyfold.plans import coadd_queries, map_queries
 
 
 def test_interpolation_needs_all_pixels(spark):
@@ -27,3 +28,21 @@ def test_pixel_ids_do_not_run_over(spark):
     assert one.select(matching.object_id(F.lit(7), F.lit(5))).first()[0] > 0
     with pytest.raises(Exception, match="more objects in a pixel"):
         one.select(matching.object_id(F.lit(7), F.lit(matching.ID_PER_PIXEL))).collect()
+
+
+def test_exploded_tile_centres_are_never_broadcast(spark):
+    # Spark sizes the copies of a tile in its cells like the one row of the tile.
+    df = spark.range(20).select("id", F.col("id").cast("double").alias("RA"), F.lit(1.0).alias("DEC"))
+    tiles = spark.range(5).selectExpr("id AS tile", "id*1e0 AS ra0", "1e0 AS dec0", "5e-1 AS scale", "5e0 AS x0", "5e0 AS y0", "0e0 AS xmin", "10e0 AS xmax", "0e0 AS ymin", "10e0 AS ymax")
+    plan = masks.tile_coordinates(df, tiles, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_depth_and_split_queries_carry_what_they_read(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(matching, "match_objects", lambda bands, *a, **b: (_ for _ in ()).throw(StopIteration(seen.setdefault("split", bands[0].columns))))
+    with pytest.raises(StopIteration):
+        coadd_queries.match_per_pixel_split(spark, "/root/testdata/sf0.001")
+    assert seen["split"] == ["det_id", "HPX", "EXPNUM", "BAND", "RA", "DEC"]
+    shards = map_queries._shards(spark, "/root/testdata/sf0.001")
+    assert len(shards.columns) == 4 + 6 * 5 and shards.count() > 0
